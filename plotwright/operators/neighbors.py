@@ -4,13 +4,14 @@ Two signatures at most k bits apart are, cut into m bands, close in at least one
 with k = q*m + r, either one of r + 1 bands differs by at most q bits or one of the
 others by at most q - 1. Rows meet on (band, value), where both sides list values a
 few flips away so that their flips together cover the band's radius. No pair is lost,
-and the Hamming test runs inside the join, so only true pairs leave it.
+and the Hamming test runs inside the join, so only true pairs leave it, each once.
 
 Copies are folded first: the join sees each signature once, however many rows share it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -18,12 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.bits import BUCKET_BITS, bits, bucket, distance, max_distance, words
-from .select import first_per_key
+from ..functions.bits import BUCKET_BITS, bits, bucket, max_distance
 
 MAX_BAND = 32
-# Signatures that may share one band value before that value is split by a second band.
-HOT_BUCKET = 5000
+# Signatures that may share one band value before that value is split over several tasks.
+HOT_BUCKET = 10_000
 
 
 def signature_groups(images: DataFrame, key: str, signature: str) -> DataFrame:
@@ -41,73 +41,64 @@ def _bands(n_bits: int, m: int, k: int) -> list[tuple[int, int, int]]:
     for i in range(m):
         width = n_bits // m + (1 if i < n_bits % m else 0)
         radius = min(width, q if i <= r else q - 1)
-        if radius >= 0:
-            out.append((start, width, radius))
+        out.append((start, width, radius))
         start += width
     return out
 
 
-def _flips(width: int, radius: int) -> list[int]:
-    """Bit masks with at most `radius` of `width` bits set."""
-    return [sum(1 << i for i in c) for n in range(radius + 1) for c in combinations(range(width), n)]
+def _reach(radius: int, left: bool) -> int:
+    """The flips each side lists; together they cover the radius."""
+    return (radius + 1) // 2 if left else radius // 2
 
 
-def _keys(width: int, radius: int) -> int:
-    return sum(comb(width, i) for i in range(radius + 1))
+def _keys(width: int, flips: int) -> int:
+    return sum(comb(width, i) for i in range(flips + 1))
 
 
 def band_plan(n_bits: int, k: int, n_signatures: int) -> list[tuple[int, int, int]]:
     """The cut into bands with the least keys and expected chance meetings."""
 
     def cost(plan: list[tuple[int, int, int]]) -> float:
-        keys = sum(_keys(w, (r + 1) // 2) + _keys(w, r // 2) for _, w, r in plan)
-        meetings = sum(_keys(w, r) * comb(r, r // 2) / 2**w for _, w, r in plan)
+        sides = [(w, _keys(w, _reach(r, True)), _keys(w, _reach(r, False))) for _, w, r in plan]
+        keys = sum(left + right for _, left, right in sides)
+        meetings = sum(left * right / 2**w for w, left, right in sides)
         # A key is shuffled, a meeting only tested: a shuffled row costs about 20 tests.
         return 20 * keys + n_signatures * meetings
 
     fewest = -(-n_bits // MAX_BAND)
-    plans = [_bands(n_bits, m, k) for m in range(fewest, min(k + 1, n_bits) + 1)]
-    return min(plans or [_bands(n_bits, fewest, k)], key=cost)
+    most = max(fewest, min(k + 1, n_bits))
+    return min((_bands(n_bits, m, k) for m in range(fewest, most + 1)), key=cost)
 
 
-def _band_value(start: int, width: int) -> Column:
-    return F.conv(F.substring("_bits", start + 1, width), 2, 10).cast("bigint")
+def _flips(width: int, flips: int) -> Column:
+    """Bit masks with at most `flips` of `width` bits set."""
+    masks = [sum(1 << i for i in c) for n in range(flips + 1) for c in combinations(range(width), n)]
+    return F.array(*[F.lit(m).cast("bigint") for m in masks])
 
 
-def _probe(start: int, width: int, radius: int) -> Column:
-    """All values of a band within the radius."""
-    value = _band_value(start, width)
-    return F.transform(F.array(*[F.lit(m).cast("bigint") for m in _flips(width, radius)]), lambda f: value.bitwiseXOR(f))
-
-
-def _filed(values: Column, band: int, names: tuple[str, str]) -> Column:
-    return F.transform(values, lambda v: F.struct(F.lit(band).alias(names[0]), v.alias(names[1])))
+def _around(value: Column, band: int, width: int, flips: int) -> Column:
+    """The band's values within so many flips, as array of (band, value)."""
+    return F.transform(
+        _flips(width, flips), lambda f: F.struct(F.lit(band).alias("band"), value.bitwiseXOR(f).alias("value"))
+    )
 
 
-def _entries(signatures: DataFrame, plan: list[tuple[int, int, int]], left: bool) -> DataFrame:
+def _entries(known: DataFrame, plan: list[tuple[int, int, int]], left: bool) -> DataFrame:
     """One row per (band, value) under which a signature is filed."""
-    probes = [
-        _filed(_probe(s, w, (r + 1) // 2 if left else r // 2), b, ("band", "value"))
-        for b, (s, w, r) in enumerate(plan)
-    ]
-    return signatures.withColumn("_e", F.explode(F.concat(*probes))).select("*", "_e.band", "_e.value").drop("_e")
-
+    filed = [_around(F.get("_b", F.lit(b)), b, w, _reach(r, left)) for b, (_, w, r) in enumerate(plan)]
+    return known.withColumn("_e", F.explode(F.concat(*filed))).select("signature", "_b", "_e.band", "_e.value")
 
-def _second_entries(entries: DataFrame, hot: DataFrame, plan: list[tuple[int, int, int]], k: int, left: bool) -> DataFrame:
-    """Entries of crowded values filed again under a second band, all others as they are.
 
-    A pair that meets in one band has to be close in one of the remaining m - 1 bands too.
-    """
-    radius = k // max(1, len(plan) - 1)
-    marked = entries.join(hot, ["band", "value"], "left")
-    probes = []
-    for b, (s, w, _) in enumerate(plan):
-        own = min(w, radius)
-        again = _filed(_probe(s, w, (own + 1) // 2 if left else own // 2), b, ("band2", "value2"))
-        probes.append(F.when(F.col("band") != b, again).otherwise(F.slice(again, 1, 0)))
-    once = F.array(F.struct(F.lit(-1).alias("band2"), F.lit(0).cast("bigint").alias("value2")))
-    filed = marked.withColumn("_f", F.explode(F.when(F.col("_hot"), F.concat(*probes)).otherwise(once)))
-    return filed.select("signature", "_words", "band", "value", "_f.band2", "_f.value2")
+def _crowds(known: DataFrame, plan: list[tuple[int, int, int]], hot_bucket: int) -> DataFrame:
+    """(band, value, _salts): values under which far more signatures are filed than one task should hold."""
+    own = known.select(F.posexplode("_b").alias("band", "value")).groupBy("band", "value").agg(F.count("*").alias("_n"))
+    hot = own.where(F.col("_n") > hot_bucket)
+    spread = [
+        F.when(F.col("band") == b, _around(F.col("value"), b, w, _reach(r, False))) for b, (_, w, r) in enumerate(plan)
+    ]
+    around = hot.select(F.explode(F.coalesce(*spread)).alias("_e"), "_n")
+    total = around.groupBy("_e.band", "_e.value").agg(F.sum("_n").alias("_n"))
+    return total.select("band", "value", F.ceil(F.col("_n") / hot_bucket).cast("int").alias("_salts"))
 
 
 def near_pairs(
@@ -117,27 +108,43 @@ def near_pairs(
 
     `signatures` has a column `signature`, unique; left < right. `expected` is their
     number, if known; it steers speed only.
+
+    A pair can meet in several bands and, through flips, at several values of a band.
+    It is taken at one of them alone: in its first close band, at the value reached by
+    the fewest and lowest flips of the left side. So no duplicates arise to be removed.
     """
     k = max_distance(n_bits, similarity)
     expected = signatures.count() if expected is None else expected
     plan = band_plan(n_bits, k, expected)
-    known = signatures.select(
-        "signature", words(F.col("signature"), n_bits).alias("_words"), bits(F.col("signature"), n_bits).alias("_bits")
-    )
+    text = bits(F.col("signature"), n_bits)
+    bands = F.array(*[F.conv(F.substring("_bits", s + 1, w), 2, 10).cast("bigint") for s, w, _ in plan])
+    known = signatures.select("signature", text.alias("_bits")).select("signature", bands.alias("_b"))
     left, right = _entries(known, plan, True), _entries(known, plan, False)
-    # Values no crowd can gather under need no second band, as with few signatures.
-    if len(plan) > 1 and expected > hot_bucket:
-        crowded = right.groupBy("band", "value").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_bucket)
-        hot = crowded.select("band", "value", F.lit(True).alias("_hot"))
-        left, right = (_second_entries(e, hot, plan, k, side) for e, side in ((left, True), (right, False)))
-        on = ["band", "value", "band2", "value2"]
-    else:
-        on = ["band", "value"]
-    a = left.select(F.col("signature").alias("left"), F.col("_words").alias("_lw"), *on)
-    b = right.select(F.col("signature").alias("right"), F.col("_words").alias("_rw"), *on)
-    apart = distance(F.col("_lw"), F.col("_rw"), n_bits)
-    met = a.join(b, on).where((F.col("left") < F.col("right")) & (apart <= k))
-    pairs = met.select("left", "right", apart.alias("distance")).distinct()
+    on = ["band", "value"]
+    if expected > hot_bucket:
+        crowds = _crowds(known, plan, hot_bucket)
+        salts = F.coalesce("_salts", F.lit(1))
+        left = left.join(crowds, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        right = right.join(crowds, on, "left").withColumn(
+            "_salt", F.pmod(F.xxhash64("signature"), salts).cast("int")
+        )
+        on = [*on, "_salt"]
+    a = left.select(F.col("signature").alias("left"), F.col("_b").alias("_lb"), *on)
+    b = right.select(F.col("signature").alias("right"), F.col("_b").alias("_rb"), *on)
+
+    def apart(band: int) -> Column:
+        return F.bit_count(F.get("_lb", F.lit(band)).bitwiseXOR(F.get("_rb", F.lit(band))))
+
+    total = reduce(lambda x, y: x + y, [apart(i) for i in range(len(plan))])
+    first_band = [(F.col("band") <= i) | (apart(i) > r) for i, (_, _, r) in enumerate(plan[:-1])]
+    mine = F.get("_lb", F.col("band")).bitwiseXOR(F.col("value"))
+    theirs = F.get("_rb", F.col("band")).bitwiseXOR(F.col("value"))
+    right_reach = F.get(F.array(*[F.lit(_reach(r, False)) for _, _, r in plan]), F.col("band"))
+    fewest = F.bit_count(mine) == F.greatest(F.lit(0), F.bit_count(mine) + F.bit_count(theirs) - right_reach)
+    lowest = (mine == 0) | (theirs == 0) | (mine < theirs.bitwiseAND(-theirs))
+    one_value = (mine.bitwiseAND(theirs) == 0) & lowest & fewest
+    taken = reduce(lambda x, y: x & y, first_band, (F.col("left") < F.col("right")) & (total <= k) & one_value)
+    pairs = a.join(b, on).where(taken).select("left", "right", total.alias("distance"))
     return pairs.withColumn("similarity", 1 - F.col("distance") / F.lit(n_bits))
 
 
