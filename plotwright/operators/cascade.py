@@ -96,23 +96,23 @@ def address_regions(addresses: DataFrame, gazetteer: DataFrame, exceptions: Data
     for column in ("district", "city"):
         side = by_value.select(
             F.col("value").alias("_value"),
-            F.lit(True).alias(f"{column}_usable"),
-            *[F.col(r).alias(f"{column}_{r}") for r in RUNGS],
+            F.lit(True).alias(f"_{column}_usable"),
+            *[F.col(r).alias(f"_{column}_{r}") for r in RUNGS],
         )
         out = out.join(side, out[column] == side["_value"], "left").drop("_value")
         for table, second, name in ((by_part, "city_part", "part"), (by_street, "street", "street")):
             t_second = [c for c in table.columns if c not in ("nazev_obce", "kraj")][0]
             side = table.select(
-                F.col("nazev_obce").alias("_a"), F.col(t_second).alias("_b"), F.col("kraj").alias(f"{column}_{name}")
+                F.col("nazev_obce").alias("_a"), F.col(t_second).alias("_b"), F.col("kraj").alias(f"_{column}_by_{name}")
             )
             on = (F.lower(out[column]) == side["_a"]) & (F.lower(out[second]) == side["_b"])
             out = out.join(side, on, "left").drop("_a", "_b")
         # The district table applies to districts only.
         asked = [r for r in RUNGS[:-1] if column == "district" or r != "r_district"]
-        found += [(f"{column}_{r[2:]}", F.col(f"{column}_{r}")) for r in asked]
-        usable = F.col(f"{column}_usable")
-        found += [(f"{column}_{n}", F.when(usable, F.col(f"{column}_{n}"))) for n in ("part", "street")]
-        found.append((f"{column}_capital", F.col(f"{column}_r_capital")))
+        found += [(f"{column}_{r[2:]}", F.col(f"_{column}_{r}")) for r in asked]
+        usable = F.col(f"_{column}_usable")
+        found += [(f"{column}_{n}", F.when(usable, F.col(f"_{column}_by_{n}"))) for n in ("part", "street")]
+        found.append((f"{column}_capital", F.col(f"_{column}_r_capital")))
     return out.select(*addresses.columns, *_first(found, "new_region", "region_step"))
 
 

@@ -77,10 +77,10 @@ def price_changes(snapshots: DataFrame, days: DataFrame | None = None) -> DataFr
 
 
 def refresh_prices(existing: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame:
-    """Held listings with the feed's price where the feed has one."""
+    """Held listings, the active ones with the feed's price where the feed has one."""
     latest = feed.where(F.col("price").isNotNull()).groupBy(*keys).agg(F.max("price").alias("_price"))
     return (
         existing.join(latest, keys, "left")
-        .withColumn("price", F.coalesce("_price", "price"))
+        .withColumn("price", F.when(F.col("archived_date").isNull(), F.coalesce("_price", "price")).otherwise(F.col("price")))
         .select(*existing.columns)
     )
