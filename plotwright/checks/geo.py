@@ -261,7 +261,9 @@ _TITLE_REGION = f"""{_partial('SELECT DISTINCT lower(name) AS title FROM l WHERE
         FROM l JOIN top ON top.title = lower(l.name) JOIN g ON lower(nazev_obce) = top.name GROUP BY 1""",
 )
 def title_regions(spark, sf_dir):
-    return cascade.title_regions(_listings(spark, sf_dir), "name", _gazetteer(spark, sf_dir))
+    titles = _listings(spark, sf_dir).where("name IS NOT NULL").select(F.col("name").alias("title")).distinct()
+    found = cascade.title_regions(titles, "title", _gazetteer(spark, sf_dir))
+    return found.where("kraj IS NOT NULL").withColumnRenamed("kraj", "region")
 
 
 # City steps: exact district, city, part; fuzzy the same; the title last.

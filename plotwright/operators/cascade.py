@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import CAPITAL, CAPITAL_RING, CAPITAL_RING_REGION, admin_name, fold, lookup
+from ..session import materialized
 from . import gazetteer as gaz
 from .fuzzy import fuzzy_top1, partial_top1
-from .lookup import lookup_join
+from .lookup import distinct_keys, lookup_join
 
 # Score cut-offs.
 REGION_SCORE = 90  # at least
@@ -88,7 +89,7 @@ RUNGS = ["r_district", "r_city", "r_fuzzy", "r_alias", "r_name", "r_row", "r_cap
 def address_regions(addresses: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """Distinct addresses with `new_region` and `region_step`, the district asked before the city."""
     values = addresses.select(F.explode(F.array("district", "city")).alias("value")).where("value IS NOT NULL").distinct()
-    by_value = _value_regions(values, gazetteer, exceptions)
+    by_value = materialized(_value_regions(values, gazetteer, exceptions), "value-regions")
     by_part = gaz.regions_by(gazetteer, ["nazev_obce", "nazev_casti_obce"])
     by_street = gaz.regions_by(gazetteer, ["nazev_obce", "nazev_ulice"])
     out = addresses
@@ -116,13 +117,17 @@ def address_regions(addresses: DataFrame, gazetteer: DataFrame, exceptions: Data
     return out.select(*addresses.columns, *_first(found, "new_region", "region_step"))
 
 
+def _title_places(titles: DataFrame, title: str, cities: DataFrame, value: str, cut_off: int, strict: bool) -> DataFrame:
+    """Each row of `titles` with the value of the city whose name fits best inside its title."""
+    folded = titles.withColumn("_fold", fold(F.col(title)))
+    best = partial_top1(folded, "_fold", cities, "name", cut_off, strict)
+    best = best.join(cities, best["choice"] == cities["name"]).select(F.col("query").alias("_q"), value)
+    return folded.join(best, folded["_fold"] == best["_q"], "left").drop("_fold", "_q")
+
+
 def title_regions(titles: DataFrame, title: str, gazetteer: DataFrame) -> DataFrame:
-    """(title, region): region of the city whose name fits best inside the title."""
-    folded = titles.select(F.col(title).alias("title"), fold(F.col(title)).alias("_fold")).where("_fold != ''").distinct()
-    cities = gaz.first_city_region(gazetteer)
-    best = partial_top1(folded, "_fold", cities, "name", TITLE_REGION_SCORE)
-    best = best.join(cities, best["choice"] == cities["name"]).select(F.col("query").alias("_q"), F.col("kraj").alias("region"))
-    return folded.join(best, folded["_fold"] == best["_q"]).select("title", "region")
+    """`titles` with `kraj`, the region of the city whose name fits best inside the title."""
+    return _title_places(titles, title, gaz.first_city_region(gazetteer), "kraj", TITLE_REGION_SCORE, False)
 
 
 def assign_regions(listings: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
@@ -132,13 +137,14 @@ def assign_regions(listings: DataFrame, gazetteer: DataFrame, exceptions: DataFr
     where region and district are null.
     """
     open_rows = F.col("region").isNull()
-    addresses = listings.where(open_rows).select(*ADDRESS).distinct()
-    out = lookup_join(listings, address_regions(addresses, gazetteer, exceptions), ADDRESS)
+    addresses = distinct_keys(listings.where(open_rows), ADDRESS)
+    regions = materialized(address_regions(addresses, gazetteer, exceptions), "address-regions")
     asks_title = open_rows & F.col("district").isNull() & F.col("name").isNotNull()
-    titles = title_regions(listings.where(asks_title).select("name"), "name", gazetteer)
-    titles = titles.select(F.col("title").alias("name"), F.col("region").alias("region_from_name"))
-    out = lookup_join(out, titles, ["name"])
-    from_title = F.when(asks_title, F.col("region_from_name"))
+    titles = title_regions(distinct_keys(listings.where(asks_title), ["name"]), "name", gazetteer)
+    titles = materialized(titles.withColumnRenamed("kraj", "region_from_name"), "title-regions")
+    out = lookup_join(listings, regions, ADDRESS, open_rows)
+    out = lookup_join(out, titles, ["name"], asks_title)
+    from_title = F.col("region_from_name")
     step = (
         F.when(~open_rows, F.lit(None))
         .when(F.col("new_region").isNotNull(), F.col("region_step"))
@@ -147,7 +153,6 @@ def assign_regions(listings: DataFrame, gazetteer: DataFrame, exceptions: DataFr
     return out.withColumns(
         {
             "region_step": step,
-            "region_from_name": from_title,
             "region": F.coalesce("region", "new_region", from_title),
         }
     ).drop("new_region")
@@ -164,13 +169,13 @@ def quarantine(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return listings.where(~unresolved()), listings.where(unresolved())
 
 
-def _by_folded(values: DataFrame, table: DataFrame) -> DataFrame:
-    """(name, nazev_obce) for each distinct folded value: the exact city, or the best fuzzy one."""
+def _by_folded(values: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """(name, nazev_obce, exact) for each distinct folded value: the exact city, or the best fuzzy one."""
     exact = values.join(table, "name")
     rest = values.join(table, "name", "left_anti")
     best = fuzzy_top1(rest, "name", table, "name", CITY_SCORE, strict=True)
     fuzzy = best.join(table, best["choice"] == table["name"]).select(best["query"].alias("name"), "nazev_obce")
-    return exact.withColumn("exact", F.lit(True)).unionByName(fuzzy.withColumn("exact", F.lit(False)))
+    return materialized(exact.withColumn("exact", F.lit(True)).unionByName(fuzzy.withColumn("exact", F.lit(False))), name)
 
 
 def address_cities(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -180,7 +185,7 @@ def address_cities(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
     names, parts = gaz.city_names(gazetteer), gaz.part_cities(gazetteer)
     city_values = folded.select(F.explode(F.array("_district", "_city")).alias("name")).where("name != ''").distinct()
     part_values = folded.select(F.col("_city_part").alias("name")).where("name != ''").distinct()
-    tables = {"city": _by_folded(city_values, names), "part": _by_folded(part_values, parts)}
+    tables = {"city": _by_folded(city_values, names, "value-cities"), "part": _by_folded(part_values, parts, "part-cities")}
     out = folded
     for column, table in (("district", "city"), ("city", "city"), ("city_part", "part")):
         side = tables[table].select(
@@ -193,41 +198,36 @@ def address_cities(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def title_cities(titles: DataFrame, title: str, gazetteer: DataFrame) -> DataFrame:
-    """(title, city): the city whose name fits best inside the title."""
-    folded = titles.select(F.col(title).alias("title"), fold(F.col(title)).alias("_fold")).where("_fold != ''").distinct()
-    names = gaz.city_names(gazetteer)
-    best = partial_top1(folded, "_fold", names, "name", TITLE_CITY_SCORE, strict=True)
-    best = best.join(names, best["choice"] == names["name"]).select(F.col("query").alias("_q"), F.col("nazev_obce").alias("city"))
-    return folded.join(best, folded["_fold"] == best["_q"]).select("title", "city")
+    """`titles` with `nazev_obce`, the city whose name fits best inside the title."""
+    return _title_places(titles, title, gaz.city_names(gazetteer), "nazev_obce", TITLE_CITY_SCORE, True)
 
 
 def assign_cities(listings: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listings with a region but no `norm_city` get one where a rung finds it, and `city_step`."""
     columns = ["district", "city", "city_part"]
     open_rows = F.col("region").isNotNull() & F.col("norm_city").isNull()
-    addresses = listings.where(open_rows).select(*columns).distinct()
-    out = lookup_join(listings, address_cities(addresses, gazetteer), columns)
+    addresses = distinct_keys(listings.where(open_rows), columns)
+    cities = materialized(address_cities(addresses, gazetteer), "address-cities")
+    out = lookup_join(listings, cities, columns, open_rows)
     asks_title = open_rows & F.col("new_city").isNull() & F.col("name").isNotNull()
-    titles = title_cities(out.where(asks_title).select("name"), "name", gazetteer)
-    out = lookup_join(out, titles.select(F.col("title").alias("name"), F.col("city").alias("_title_city")), ["name"])
-    from_title = F.when(asks_title, F.col("_title_city"))
-    step = F.when(open_rows, F.coalesce("city_step", F.when(from_title.isNotNull(), F.lit("name"))))
+    titles = title_cities(distinct_keys(out.where(asks_title), ["name"]), "name", gazetteer)
+    titles = materialized(titles.withColumnRenamed("nazev_obce", "_title_city"), "title-cities")
+    out = lookup_join(out, titles, ["name"], asks_title)
+    step = F.coalesce("city_step", F.when(F.col("_title_city").isNotNull(), F.lit("name")))
     return out.withColumns(
-        {
-            "city_step": step,
-            "norm_city": F.coalesce("norm_city", F.when(open_rows, F.coalesce("new_city", from_title))),
-        }
+        {"city_step": step, "norm_city": F.coalesce("norm_city", "new_city", "_title_city")}
     ).drop("new_city", "_title_city")
 
 
 def assign_city_parts(listings: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listings without `norm_city_part` get the gazetteer's spelling of their exact (city, part)."""
-    pairs = listings.where(F.col("norm_city_part").isNull()).select("city", "city_part").distinct()
+    open_rows = F.col("norm_city_part").isNull()
+    pairs = distinct_keys(listings.where(open_rows), ["city", "city_part"])
     folded = pairs.withColumns({"_c": fold(F.col("city")), "_p": fold(F.col("city_part"))})
     table = gaz.city_parts(gazetteer).withColumnRenamed("city", "_tc").withColumnRenamed("part", "_tp")
-    matched = folded.join(table, (folded["_c"] == table["_tc"]) & (folded["_p"] == table["_tp"]))
-    matched = matched.select("city", "city_part", F.col("nazev_casti_obce").alias("_part"))
-    out = lookup_join(listings, matched, ["city", "city_part"])
+    matched = folded.join(table, (folded["_c"] == table["_tc"]) & (folded["_p"] == table["_tp"]), "left")
+    matched = materialized(matched.select(*pairs.columns, F.col("nazev_casti_obce").alias("_part")), "city-parts")
+    out = lookup_join(listings, matched, ["city", "city_part"], open_rows)
     return out.withColumn("norm_city_part", F.coalesce("norm_city_part", "_part")).drop("_part")
 
 
@@ -240,47 +240,33 @@ def address_streets(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
     An exact match of any field, in that order, goes before the best fuzzy one.
     """
     table = gaz.city_streets(gazetteer)
-    folded = addresses.withColumns({"_city": fold(F.col("norm_city")), **{f"_{i}": fold(F.col(c)) for i, c in enumerate(STREET_FIELDS)}})
-    values = (
-        folded.where("_city != ''")
-        .select(F.col("_city").alias("vc"), F.explode(F.array(*[f"_{i}" for i in range(4)])).alias("value"))
-        .where("value != ''")
-        .distinct()
-    )
+    fields = F.array(*[F.struct(F.lit(i).alias("rank"), fold(F.col(c)).alias("value")) for i, c in enumerate(STREET_FIELDS)])
+    asked = addresses.withColumn("vc", fold(F.col("norm_city"))).where("vc != ''")
+    asked = asked.withColumn("_f", F.explode(fields)).select(*addresses.columns, "vc", "_f.rank", "_f.value").where("value != ''")
+    values = asked.select("vc", "value").distinct()
     exact = values.join(table, (values["vc"] == table["city"]) & (values["value"] == table["street"]))
-    exact = exact.select("vc", "value", "nazev_ulice", F.lit(100.0).alias("score"), F.lit(True).alias("exact"))
+    exact = exact.select("vc", "value", "nazev_ulice", F.lit(0.0).alias("short_of"), F.lit("strict").alias("step"))
     rest = values.join(exact.select("vc", "value"), ["vc", "value"], "left_anti")
     best = fuzzy_top1(rest, "value", table, "street", STREET_SCORE, strict=True, query_block="vc", choice_block="city")
     fuzzy = best.join(table, (best["block"] == table["city"]) & (best["choice"] == table["street"])).select(
-        best["block"].alias("vc"), best["query"].alias("value"), "nazev_ulice", "score", F.lit(False).alias("exact")
+        best["block"].alias("vc"), best["query"].alias("value"), "nazev_ulice",
+        (F.lit(100.0) - F.col("score")).alias("short_of"), F.lit("fuzzy").alias("step"),
     )
-    answers = exact.unionByName(fuzzy)
-    out = folded
-    for i in range(4):
-        side = answers.select(
-            F.col("vc").alias("_vc"), F.col("value").alias("_value"),
-            F.struct((~F.col("exact")).alias("f"), (-F.when(~F.col("exact"), F.col("score")).otherwise(0.0)).alias("s"),
-                     F.lit(i).alias("i"), F.col("nazev_ulice").alias("u")).alias(f"_a{i}"),
-        )
-        out = out.join(side, (out["_city"] == side["_vc"]) & (out[f"_{i}"] == side["_value"]), "left").drop("_vc", "_value")
-    best_field = F.array_min(F.filter(F.array(*[f"_a{i}" for i in range(4)]), lambda a: a.isNotNull()))
-    out = out.withColumn("_best", best_field)
-    step = F.when(F.col("_best").isNotNull(), F.when(F.col("_best.f"), F.lit("fuzzy")).otherwise(F.lit("strict")))
-    return out.select(*addresses.columns, F.col("_best.u").alias("new_street"), step.alias("street_step"))
+    # A folded value that equals a street falls short by nothing, so exact answers come first.
+    answered = asked.join(exact.unionByName(fuzzy), ["vc", "value"], "left")
+    order = F.struct(F.col("short_of").isNull(), "short_of", "rank")
+    first = answered.groupBy(*addresses.columns).agg(F.min_by(F.struct("nazev_ulice", "step"), order).alias("_b"))
+    return first.select(*addresses.columns, F.col("_b.nazev_ulice").alias("new_street"), F.col("_b.step").alias("street_step"))
 
 
 def assign_streets(listings: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listings without `norm_ulice` get a street of their `norm_city`, and `street_step`."""
     columns = ["norm_city", *STREET_FIELDS]
-    open_rows = F.col("norm_ulice").isNull()
-    addresses = listings.where(open_rows & F.col("norm_city").isNotNull()).select(*columns).distinct()
-    out = lookup_join(listings, address_streets(addresses, gazetteer), columns)
-    return out.withColumns(
-        {
-            "street_step": F.when(open_rows, F.col("street_step")),
-            "norm_ulice": F.coalesce("norm_ulice", "new_street"),
-        }
-    ).drop("new_street")
+    open_rows = F.col("norm_ulice").isNull() & F.col("norm_city").isNotNull()
+    addresses = distinct_keys(listings.where(open_rows), columns)
+    streets = materialized(address_streets(addresses, gazetteer), "address-streets")
+    out = lookup_join(listings, streets, columns, open_rows)
+    return out.withColumn("norm_ulice", F.coalesce("norm_ulice", "new_street")).drop("new_street")
 
 
 def step_statistics(listings: DataFrame, step: str) -> DataFrame:

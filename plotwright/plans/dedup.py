@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..functions.bits import SIGNATURE_BITS, SIMILARITY
 from ..operators.duplicates import adjacency, duplicate_counts, duplicate_statistics, hash_maps
 from ..operators.neighbors import near_pairs, signature_groups
-from ..session import checkpointed
+from ..session import materialized
 
 
 @dataclass
@@ -27,10 +27,10 @@ class Duplicates:
 def find_duplicates(images: DataFrame, n_bits: int = SIGNATURE_BITS, similarity: float = SIMILARITY) -> Duplicates:
     """`images` has internal_id, source, pos and signature (hex).
 
-    The pairs are checkpointed: four results start from them.
+    The pairs are written once, as three results start from them.
     """
     groups = signature_groups(images, "internal_id", "signature")
-    pairs = checkpointed(near_pairs(groups.select("signature"), n_bits, similarity))
+    pairs = materialized(near_pairs(groups.select("signature"), n_bits, similarity), "near-pairs")
     return Duplicates(
         groups,
         pairs,

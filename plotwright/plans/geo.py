@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame
 
 from ..operators.cascade import assign_cities, assign_city_parts, assign_regions, assign_streets, quarantine
 from ..schemas import GEO_COLUMNS
-from ..session import checkpointed
+from ..session import materialized
 
 
 def normalize(
-    listings: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None = None, cut: bool = True
+    listings: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(normalized listings, quarantined listings).
 
-    City needs the region and street needs the city, so the steps form one chain. With
-    `cut` the regions are checkpointed, as both outputs start from them.
+    City needs the region and street needs the city, so the steps form a chain. Each
+    step reads the listings twice, once for their distinct places and once to answer
+    them, so the listings are written between the steps.
     """
     base = [c for c in listings.columns if c not in GEO_COLUMNS]
-    regions = assign_regions(listings, gazetteer, exceptions)
-    kept, garbage = quarantine(checkpointed(regions) if cut else regions)
-    out = assign_cities(kept, gazetteer)
-    out = assign_city_parts(out, gazetteer)
-    out = assign_streets(out, gazetteer)
+    gazetteer = materialized(gazetteer, "gazetteer")
+    regions = materialized(assign_regions(listings, gazetteer, exceptions), "geo-regions")
+    kept, garbage = quarantine(regions)
+    cities = materialized(assign_cities(kept, gazetteer), "geo-cities")
+    parts = materialized(assign_city_parts(cities, gazetteer), "geo-parts")
+    out = assign_streets(parts, gazetteer)
     return out.select(*base, *GEO_COLUMNS, "region_step", "city_step", "street_step"), garbage.select(*listings.columns)

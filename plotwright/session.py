@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,10 +51,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df):
-    """Cut the lineage at a reliable checkpoint, so lost executors replay from storage."""
-    spark = df.sparkSession
-    directory = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(directory)
-    return df.checkpoint()
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from the files.
+
+    This cuts the lineage where several results start from one table: lost executors
+    read it again instead of redoing it, and Spark plans what follows with its true size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
