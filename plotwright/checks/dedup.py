@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import bits, grids
 from ..operators import duplicates as dups
 from ..operators import neighbors
+from ..session import materialized
 from .registry import check, table
 
 SIDE = 8
@@ -117,8 +118,8 @@ _PAIR_COLUMNS = "SELECT l AS left_sig, r AS right_sig, distance, round(similarit
 
 
 def _pairs(spark, sf_dir, kind, n_bits, similarity):
-    groups = neighbors.signature_groups(_signatures(spark, sf_dir, kind), "vec_id", "signature")
-    return neighbors.near_pairs(groups.select("signature"), n_bits, similarity)
+    signatures = _signatures(spark, sf_dir, kind).select("signature").distinct()
+    return neighbors.near_pairs(signatures, n_bits, similarity)
 
 
 def _named(pairs):
@@ -146,8 +147,8 @@ _BUCKET = "list_sum(list_transform(range(8), lambda i: CASE WHEN substr({0}.bits
         SELECT l AS left_sig, r AS right_sig, distance FROM p UNION ALL SELECT r, l, distance FROM p""",
 )
 def lsh_pairs(spark, sf_dir):
-    groups = neighbors.signature_groups(_signatures(spark, sf_dir, "whash"), "vec_id", "signature")
-    return _named(neighbors.lsh_pairs(groups.select("signature"), 16, 0.85)).select("left_sig", "right_sig", "distance")
+    signatures = _signatures(spark, sf_dir, "whash").select("signature").distinct()
+    return _named(neighbors.lsh_pairs(signatures, 16, 0.85)).select("left_sig", "right_sig", "distance")
 
 
 @check(
@@ -173,12 +174,13 @@ def copy_groups(spark, sf_dir):
 
 def _images(spark, sf_dir, kind="whash"):
     """Photos of listings: two per listing, the source by label."""
-    return _signatures(spark, sf_dir, kind).select(
+    images = _signatures(spark, sf_dir, kind).select(
         F.expr("vec_id div 2").alias("internal_id"),
         F.concat(F.lit("source"), F.col("label").cast("string")).alias("source"),
         (F.col("vec_id") % 2).cast("int").alias("pos"),
         "signature",
     )
+    return materialized(images, "images")
 
 
 @check(

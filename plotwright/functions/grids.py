@@ -24,6 +24,11 @@ def _bit_text(flags: Column) -> Column:
     return F.array_join(F.transform(flags, lambda f: F.when(f, F.lit("1")).otherwise(F.lit("0"))), "")
 
 
+def _above(values: Column, level: Column) -> Column:
+    """Which values exceed the level. As an array of its own the level is computed once per row."""
+    return F.zip_with(values, F.array_repeat(level, F.size(values)), lambda v, m: v > m)
+
+
 def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / F.size(values)
 
@@ -53,8 +58,7 @@ def block_means(grid: Column, side: int, hash_side: int) -> Column:
 def average_hash(grid: Column, side: int, hash_side: int) -> Column:
     """Bit set where a block is brighter than the mean."""
     small = block_means(grid, side, hash_side)
-    mean = _mean(small)
-    return _bit_text(F.transform(small, lambda v: v > mean))
+    return _bit_text(_above(small, _mean(small)))
 
 
 def difference_hash(grid: Column, side: int) -> Column:
@@ -66,8 +70,7 @@ def difference_hash(grid: Column, side: int) -> Column:
 def wavelet_hash(grid: Column, side: int, hash_side: int) -> Column:
     """Bit set where the low-pass wavelet band (a block mean) is above its median."""
     small = block_means(grid, side, hash_side)
-    median = _median(small, hash_side * hash_side)
-    return _bit_text(F.transform(small, lambda v: v > median))
+    return _bit_text(_above(small, _median(small, hash_side * hash_side)))
 
 
 def _cosines(side: int, kept: int) -> np.ndarray:

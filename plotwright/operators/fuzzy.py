@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import indel_partial_ratio, indel_ratio
+from ..session import spread
 
 # Below this cut-off a short text could be left with no intact segment.
 LOWEST_CUT_OFF = 67
@@ -75,7 +76,7 @@ def ratio_candidates(
     t = int(cut_off)
     q = _distinct_texts(queries, query, query_block, "query")
     c = _distinct_texts(choices, choice, choice_block, "choice")
-    q = q.select("*", F.explode(_query_keys("query", "_query_block", t)).alias("_qk"))
+    q = spread(q, "query").select("*", F.explode(_query_keys("query", "_query_block", t)).alias("_qk"))
     c = c.select("*", F.explode(_choice_keys("choice", "_choice_block", t)).alias("_ck"))
     budget = F.expr(f"({100 - t} * (length(query) + length(choice))) div 100")
     pairs = q.join(c, (q["_qk"] == c["_ck"]) & (q["_query_block"] == c["_choice_block"]))
@@ -147,8 +148,8 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
     if cut_off == 100:
         raise ValueError("a cut-off of 100 is containment; use a plain join")
     t = int(cut_off)
-    q = _distinct_texts(queries, query, None, "query")
-    c = _distinct_texts(choices, choice, None, "choice")
+    q = spread(_distinct_texts(queries, query, None, "query"), "query")
+    c = spread(_distinct_texts(choices, choice, None, "choice"), "choice")
 
     def keyed(df: DataFrame, keys: Column, name: str) -> DataFrame:
         return df.select(df.columns[1], F.explode(keys).alias(name))

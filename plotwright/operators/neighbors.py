@@ -11,7 +11,6 @@ Copies are folded first: the join sees each signature once, however many rows sh
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -19,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.bits import BUCKET_BITS, bits, bucket, max_distance
+from ..functions.bits import BUCKET_BITS, bits, bucket, distance, max_distance, words
+from ..session import materialized, spread
 
 MAX_BAND = 32
 # Signatures that may share one band value before that value is split over several tasks.
@@ -73,7 +73,7 @@ def band_plan(n_bits: int, k: int, n_signatures: int) -> list[tuple[int, int, in
 def _flips(width: int, flips: int) -> Column:
     """Bit masks with at most `flips` of `width` bits set."""
     masks = [sum(1 << i for i in c) for n in range(flips + 1) for c in combinations(range(width), n)]
-    return F.array(*[F.lit(m).cast("bigint") for m in masks])
+    return F.expr(f"array({', '.join(f'{m}L' for m in masks)})")
 
 
 def _around(value: Column, band: int, width: int, flips: int) -> Column:
@@ -86,7 +86,7 @@ def _around(value: Column, band: int, width: int, flips: int) -> Column:
 def _entries(known: DataFrame, plan: list[tuple[int, int, int]], left: bool) -> DataFrame:
     """One row per (band, value) under which a signature is filed."""
     filed = [_around(F.get("_b", F.lit(b)), b, w, _reach(r, left)) for b, (_, w, r) in enumerate(plan)]
-    return known.withColumn("_e", F.explode(F.concat(*filed))).select("signature", "_b", "_e.band", "_e.value")
+    return known.withColumn("_e", F.explode(F.concat(*filed))).select("signature", "_w", "_b", "_e.band", "_e.value")
 
 
 def _crowds(known: DataFrame, plan: list[tuple[int, int, int]], hot_bucket: int) -> DataFrame:
@@ -114,11 +114,15 @@ def near_pairs(
     the fewest and lowest flips of the left side. So no duplicates arise to be removed.
     """
     k = max_distance(n_bits, similarity)
+    signatures = materialized(signatures.select("signature"), "signatures")
     expected = signatures.count() if expected is None else expected
     plan = band_plan(n_bits, k, expected)
     text = bits(F.col("signature"), n_bits)
     bands = F.array(*[F.conv(F.substring("_bits", s + 1, w), 2, 10).cast("bigint") for s, w, _ in plan])
-    known = signatures.select("signature", text.alias("_bits")).select("signature", bands.alias("_b"))
+    known = spread(signatures, "signature").select(
+        "signature", words(F.col("signature"), n_bits).alias("_w"), text.alias("_bits")
+    )
+    known = known.select("signature", "_w", bands.alias("_b"))
     left, right = _entries(known, plan, True), _entries(known, plan, False)
     on = ["band", "value"]
     if expected > hot_bucket:
@@ -129,22 +133,24 @@ def near_pairs(
             "_salt", F.pmod(F.xxhash64("signature"), salts).cast("int")
         )
         on = [*on, "_salt"]
-    a = left.select(F.col("signature").alias("left"), F.col("_b").alias("_lb"), *on)
-    b = right.select(F.col("signature").alias("right"), F.col("_b").alias("_rb"), *on)
+    a = left.select(F.col("signature").alias("left"), F.col("_w").alias("_lw"), F.col("_b").alias("_lb"), *on)
+    b = right.select(F.col("signature").alias("right"), F.col("_w").alias("_rw"), F.col("_b").alias("_rb"), *on)
+    total = distance(F.col("_lw"), F.col("_rw"), n_bits)
+    radii = F.expr(f"array({', '.join(f'struct({i} AS band, {r} AS radius)' for i, (_, _, r) in enumerate(plan))})")
 
-    def apart(band: int) -> Column:
-        return F.bit_count(F.get("_lb", F.lit(band)).bitwiseXOR(F.get("_rb", F.lit(band))))
+    def far_before(x: Column) -> Column:
+        apart = F.bit_count(F.get("_lb", x["band"]).bitwiseXOR(F.get("_rb", x["band"])))
+        return (x["band"] >= F.col("band")) | (apart > x["radius"])
 
-    total = reduce(lambda x, y: x + y, [apart(i) for i in range(len(plan))])
-    first_band = [(F.col("band") <= i) | (apart(i) > r) for i, (_, _, r) in enumerate(plan[:-1])]
     mine = F.get("_lb", F.col("band")).bitwiseXOR(F.col("value"))
     theirs = F.get("_rb", F.col("band")).bitwiseXOR(F.col("value"))
-    right_reach = F.get(F.array(*[F.lit(_reach(r, False)) for _, _, r in plan]), F.col("band"))
+    right_reach = F.get(F.expr(f"array({', '.join(str(_reach(r, False)) for _, _, r in plan)})"), F.col("band"))
     fewest = F.bit_count(mine) == F.greatest(F.lit(0), F.bit_count(mine) + F.bit_count(theirs) - right_reach)
     lowest = (mine == 0) | (theirs == 0) | (mine < theirs.bitwiseAND(-theirs))
     one_value = (mine.bitwiseAND(theirs) == 0) & lowest & fewest
-    taken = reduce(lambda x, y: x & y, first_band, (F.col("left") < F.col("right")) & (total <= k) & one_value)
-    pairs = a.join(b, on).where(taken).select("left", "right", total.alias("distance"))
+    taken = (F.col("left") < F.col("right")) & (total <= k) & one_value & F.forall(radii, far_before)
+    # Sizes are guessed from the table before its rows were multiplied, so no side may be broadcast.
+    pairs = a.hint("merge").join(b, on).where(taken).select("left", "right", total.alias("distance"))
     return pairs.withColumn("similarity", 1 - F.col("distance") / F.lit(n_bits))
 
 
@@ -184,6 +190,7 @@ def nearest(images: DataFrame, key: str, signature: str, n_bits: int, similarity
     can be among anyone's k nearest, so no group of copies is ever paired in full.
     """
     carriers = images.select(F.col(key).alias("key"), F.col(signature).alias("signature")).dropna().distinct()
+    carriers = materialized(carriers, "carriers")
     first = Window.partitionBy("signature").orderBy("key")
     heads = carriers.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k + 1)
     heads = heads.select(F.col("signature").alias("right"), F.col("key").alias("neighbor"))

@@ -60,3 +60,12 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out over all shuffle partitions, ahead of a step that multiplies them.
+
+    The planner sizes partitions by what it reads, not by what an explode makes of it.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
