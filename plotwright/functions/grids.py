@@ -89,11 +89,13 @@ def perceptual_hash(grid: Column, side: int, hash_side: int) -> Column:
     @F.pandas_udf(T.StringType())
     def signature(grids: pd.Series) -> pd.Series:
         present = grids.notna()
-        pixels = np.stack(grids[present].to_list()).reshape(-1, side, side) if present.any() else np.empty((0, side, side))
+        out = pd.Series([None] * len(grids), index=grids.index, dtype=object)
+        if not present.any():
+            return out
+        pixels = np.stack(grids[present].to_list()).reshape(-1, side, side)
         bands = (basis @ pixels @ basis.T).reshape(len(pixels), -1)
         flags = bands > np.median(bands, axis=1, keepdims=True)
         text = np.where(flags, "1", "0")
-        out = pd.Series([None] * len(grids), index=grids.index, dtype=object)
         out[present] = ["".join(row) for row in text]
         return out
 

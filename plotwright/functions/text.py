@@ -37,6 +37,8 @@ CATEGORIES = [
 ]
 DEFAULT_CATEGORY = (5, "Ostatní")
 
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # Estate types, matched whole.
 ESTATE_TYPES = {
     "pozemek": (3, "Pozemky"),
@@ -86,7 +88,7 @@ _TWO_LETTER_FOLDS = [("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("
 
 def strip(c: Column) -> Column:
     """Cut white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def or_null(c: Column) -> Column:

@@ -36,8 +36,8 @@ def numbered(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     one row per range, whatever the data.
     """
     partitions = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = df.stat.approxQuantile(key, [i / partitions for i in range(1, partitions)], 0.1 / partitions)
-    bounds = sorted(set(cuts))
+    shares = [i / partitions for i in range(1, partitions)]
+    bounds = sorted(set(df.stat.approxQuantile(key, shares, 0.1 / partitions))) if shares else []
     part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(key))) if bounds else F.lit(0)
     ranged = df.withColumn("_part", part)
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
