@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import cascade, fuzzy
 from ..operators import gazetteer as gaz
 from ..plans.geo import normalize
+from ..session import materialized
 from .registry import check, derive, duck, table
 
 GAZETTEER = """
@@ -33,7 +34,7 @@ _L = f"l AS ({duck(LISTINGS)})"
 
 
 def _gazetteer(spark, sf_dir):
-    return derive(spark, sf_dir, GAZETTEER)
+    return materialized(derive(spark, sf_dir, GAZETTEER), "gazetteer")
 
 
 def _listings(spark, sf_dir):

@@ -137,7 +137,7 @@ def assign_regions(listings: DataFrame, gazetteer: DataFrame, exceptions: DataFr
     where region and district are null.
     """
     open_rows = F.col("region").isNull()
-    addresses = distinct_keys(listings.where(open_rows), ADDRESS)
+    addresses = materialized(distinct_keys(listings.where(open_rows), ADDRESS), "addresses")
     regions = materialized(address_regions(addresses, gazetteer, exceptions), "address-regions")
     asks_title = open_rows & F.col("district").isNull() & F.col("name").isNotNull()
     titles = title_regions(distinct_keys(listings.where(asks_title), ["name"]), "name", gazetteer)
@@ -206,7 +206,7 @@ def assign_cities(listings: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listings with a region but no `norm_city` get one where a rung finds it, and `city_step`."""
     columns = ["district", "city", "city_part"]
     open_rows = F.col("region").isNotNull() & F.col("norm_city").isNull()
-    addresses = distinct_keys(listings.where(open_rows), columns)
+    addresses = materialized(distinct_keys(listings.where(open_rows), columns), "addresses")
     cities = materialized(address_cities(addresses, gazetteer), "address-cities")
     out = lookup_join(listings, cities, columns, open_rows)
     asks_title = open_rows & F.col("new_city").isNull() & F.col("name").isNotNull()
@@ -263,7 +263,7 @@ def assign_streets(listings: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Listings without `norm_ulice` get a street of their `norm_city`, and `street_step`."""
     columns = ["norm_city", *STREET_FIELDS]
     open_rows = F.col("norm_ulice").isNull() & F.col("norm_city").isNotNull()
-    addresses = distinct_keys(listings.where(open_rows), columns)
+    addresses = materialized(distinct_keys(listings.where(open_rows), columns), "addresses")
     streets = materialized(address_streets(addresses, gazetteer), "address-streets")
     out = lookup_join(listings, streets, columns, open_rows)
     return out.withColumn("norm_ulice", F.coalesce("norm_ulice", "new_street")).drop("new_street")

@@ -38,19 +38,25 @@ def _choice_keys(text: str, block: str, t: int) -> Column:
 
 
 def _query_keys(text: str, block: str, t: int) -> Column:
-    """Every placement of every segment that a matching choice of any length may have."""
+    """Every placement of every segment that has to be tried, for each length of a matching choice.
+
+    Count the differences before each segment. From segment to segment the count minus
+    the segment number starts at 0, ends below 0 and falls by at most 1, so some intact
+    segment i has exactly i differences before it and at most D - i after it. Its shift
+    is then one of -i, -i + 2 .. i, and the rest of the length difference is at most D - i.
+    """
     r = f"length({text})"
     n = _segment_count("m", t)
     begin, size = f"((i * m) div {n})", f"(((i + 1) * m) div {n} - (i * m) div {n})"
     budget = f"(({100 - t} * (m + {r})) div 100)"
-    low = f"greatest(0, {begin} - ({budget} - ({r} - m)) div 2)"
-    high = f"least({r} - {size}, {begin} + ({budget} + ({r} - m)) div 2)"
-    starts = f"if({low} <= {high}, sequence(cast({low} as int), cast({high} as int)), array())"
+    tried = f"abs({r} - m - s) <= {budget} - i AND {begin} + s >= 0 AND {begin} + s <= {r} - {size}"
+    shifts = f"filter(sequence(-i, i, 2), s -> {tried})"
     return F.expr(
         f"""flatten(transform(
               sequence(cast(ceil({r} * {t} / {200 - t}) as int), cast(({r} * {200 - t}) div {t} as int)), m ->
               flatten(transform(sequence(0, cast({n} as int) - 1), i ->
-              transform({starts}, p -> xxhash64({block}, cast(m as int), cast(i as int), substr({text}, cast(p as int) + 1, cast({size} as int))))))))"""
+              transform({shifts}, s -> xxhash64({block}, cast(m as int), cast(i as int),
+                        substr({text}, cast({begin} + s as int) + 1, cast({size} as int))))))))"""
     )
 
 

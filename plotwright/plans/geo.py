@@ -19,7 +19,6 @@ def normalize(
     them, so the listings are written between the steps.
     """
     base = [c for c in listings.columns if c not in GEO_COLUMNS]
-    gazetteer = materialized(gazetteer, "gazetteer")
     regions = materialized(assign_regions(listings, gazetteer, exceptions), "geo-regions")
     kept, garbage = quarantine(regions)
     cities = materialized(assign_cities(kept, gazetteer), "geo-cities")
