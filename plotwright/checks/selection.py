@@ -48,6 +48,18 @@ def pending_queue_top(spark, sf_dir):
     return select.pending(_work(spark, sf_dir), "done", ["o_custkey", "o_orderkey"], 100).drop("done")
 
 
+@check(
+    "unprocessed",
+    """SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)
+       WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) ORDER BY o_custkey LIMIT 200""",
+)
+def unprocessed(spark, sf_dir):
+    paths = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("a.jpg"))).when(F.col("o_orderstatus") == "O", F.array().cast("array<string>"))
+    links = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", paths.alias("local_path"))
+    taken = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return select.unprocessed(links, "o_custkey", "local_path", taken, 200)
+
+
 @check("row_numbers", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_no FROM orders")
 def row_numbers(spark, sf_dir):
     return select.numbered(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")

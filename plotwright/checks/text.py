@@ -359,3 +359,21 @@ def storage_key(spark, sf_dir):
     rows = photos.positioned(_pages(spark, sf_dir), "page_id", F.col("hrefs")).withColumn("source", F.lit("pages"))
     rows = rows.withColumnRenamed("page_id", "internal_id")
     return photos.with_storage_key(rows, "internal_id", "/images/").select("internal_id", "pos", "storage_key")
+
+
+@check(
+    "source_urls",
+    f"""SELECT page_id AS internal_id, 'hyper_reality' AS source, 0 AS pos, page_url AS url FROM {_LINKS}
+        UNION ALL SELECT page_id, 'idnes', CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INTEGER), u
+        FROM (SELECT page_id, {_POS} FROM {_LINKS}) WHERE u <> ''""",
+)
+def source_urls(spark, sf_dir):
+    """Stored text columns: a bare URL in one source, a JSON array in another, nothing in the rest."""
+    links = _pages(spark, sf_dir).select(
+        F.col("page_id").alias("internal_id"),
+        F.col("page_url").alias("hyper_reality"),
+        F.lit(None).cast("string").alias("sreality_image_urls"),
+        F.lit("").alias("bezrealitky_image_urls"),
+        F.to_json("hrefs").alias("idnes"),
+    )
+    return photos.source_urls(photos.parsed_sources(links, "internal_id"), "internal_id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialized
+from .lookup import ASKED, distinct_keys, lookup_join
 from .neighbors import both_ways, signature_groups
 
 # Entries per stored list. Longer lists continue on further pages.
@@ -22,10 +24,10 @@ def adjacency(pairs: DataFrame, page: int = PAGE) -> DataFrame:
     A neighbor list is spread over pages of about `page` entries, so an id with very
     many neighbors is never gathered in one row; the pages together hold all of them.
     """
-    edges = both_ways(pairs.select("left", "right")).distinct()
-    sizes = edges.groupBy("left").agg(F.count("*").alias("n_neighbors"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("n_neighbors") / page)).cast("bigint")
-    placed = edges.join(sizes, "left").withColumn("page", F.pmod(F.xxhash64("right"), pages))
+    edges = materialized(both_ways(pairs.select("left", "right")).distinct(), "edges")
+    sizes = distinct_keys(edges, ["left"]).withColumn("n_neighbors", F.col(ASKED))
+    pages = F.ceil(F.col("n_neighbors") / page).cast("bigint")
+    placed = lookup_join(edges, sizes, ["left"]).withColumn("page", F.pmod(F.xxhash64("right"), pages))
     lists = placed.groupBy(F.col("left").alias("id"), "page", "n_neighbors").agg(
         F.sort_array(F.collect_list("right")).alias("neighbors")
     )
@@ -37,9 +39,12 @@ def duplicate_counts(images: DataFrame, key: str, signature: str, pairs: DataFra
 
     The listings behind a signature are counted, not paired.
     """
-    groups = signature_groups(images, key, signature)
-    near = both_ways(pairs.select("left", "right")).join(groups, F.col("right") == groups["signature"])
-    reach = near.groupBy("left").agg(F.sum("n_keys").alias("n_near"))
+    groups = materialized(signature_groups(images, key, signature), "groups")
+    edges = materialized(both_ways(pairs.select("left", "right")), "edges")
+    sizes = distinct_keys(edges, ["right"]).join(
+        groups.select(F.col("signature").alias("right"), F.col("n_keys").alias("_carriers")), "right"
+    )
+    reach = lookup_join(edges, sizes, ["right"]).groupBy("left").agg(F.sum("_carriers").alias("n_near"))
     return groups.join(reach, groups["signature"] == reach["left"], "left").select(
         "signature",
         "first_key",

@@ -66,6 +66,14 @@ def _distinct_texts(df: DataFrame, text: str, block: str | None, name: str) -> D
     return out.where(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
 
 
+def _unbroadcast(keyed: DataFrame) -> DataFrame:
+    """Keep a key join shuffled: Spark guesses sizes from before the texts were multiplied into keys.
+
+    A key that many texts share then makes a large partition, which Spark splits at run time.
+    """
+    return keyed.hint("merge")
+
+
 def _best(scored: DataFrame, cut_off: int, strict: bool) -> DataFrame:
     """Highest score per query, the first name in order among equals."""
     kept = scored.where(F.col("score") > cut_off if strict else F.col("score") >= cut_off)
@@ -85,7 +93,7 @@ def ratio_candidates(
     q = spread(q, "query").select("*", F.explode(_query_keys("query", "_query_block", t)).alias("_qk"))
     c = c.select("*", F.explode(_choice_keys("choice", "_choice_block", t)).alias("_ck"))
     budget = F.expr(f"({100 - t} * (length(query) + length(choice))) div 100")
-    pairs = q.join(c, (q["_qk"] == c["_ck"]) & (q["_query_block"] == c["_choice_block"]))
+    pairs = _unbroadcast(q).join(c, (q["_qk"] == c["_ck"]) & (q["_query_block"] == c["_choice_block"]))
     # An edit script of insertions and deletions is never shorter than the Levenshtein distance.
     pairs = pairs.where(F.levenshtein("query", "choice") <= budget)
     return pairs.select(F.col("_query_block").alias("block"), "query", "choice").distinct()
@@ -167,7 +175,7 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
         )
         short = F.least(F.length("choice"), F.length("query"))
         reachable = 200 * (short - missing) >= t * (2 * short - missing)
-        pairs = left.join(right, left["_qk"] == right["_ck"]).where(lengths & reachable)
+        pairs = _unbroadcast(left).join(right, left["_qk"] == right["_ck"]).where(lengths & reachable)
         return pairs.select(F.lit("").alias("block"), "query", "choice")
 
     inside = role(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import URL_SOURCES, item_urls, storage_key
+from ..functions.urls import URL_SOURCES, item_urls, storage_key, url_list
 
 
 def photo_links(feed: DataFrame, active: DataFrame, held: DataFrame, per: str = "url") -> DataFrame:
@@ -29,6 +29,18 @@ def positioned(df: DataFrame, key: str, items: Column) -> DataFrame:
     return df.select(key, F.posexplode(items).alias("pos", "url"))
 
 
+def parsed_sources(links: DataFrame, key: str, sources: list[str] = URL_SOURCES) -> DataFrame:
+    """The source columns of `links` read from text, JSON or bare, into arrays of URLs."""
+    return links.select(key, *[F.coalesce(item_urls(url_list(F.col(s))), F.array()).alias(s) for s in sources])
+
+
+def source_urls(links: DataFrame, key: str, sources: list[str] = URL_SOURCES) -> DataFrame:
+    """(key, source, pos, url): every URL of every source array, with its position there."""
+    lists = F.array(*[F.struct(F.lit(s).alias("source"), F.col(s).alias("urls")) for s in sources])
+    per_source = links.select(key, F.explode(lists).alias("l")).select(key, "l.*")
+    return per_source.select(key, "source", F.posexplode("urls").alias("pos", "url"))
+
+
 def fresh_urls(links: DataFrame, key: str, seen: DataFrame, sources: list[str] = URL_SOURCES) -> DataFrame:
     """(key, source, pos, url): each listing's distinct unseen URLs, of the first source that has any.
 

@@ -28,6 +28,17 @@ def pending(df: DataFrame, done_column: str, order: list[str], limit: int | None
     return queue if limit is None else queue.orderBy(*order).limit(limit)
 
 
+def unprocessed(links: DataFrame, key: str, done: str, taken: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row per key whose `done` array is null or empty and that is not taken yet, in key order.
+
+    Among several rows of a key the smallest is kept.
+    """
+    others = [c for c in links.columns if c not in (key, done)]
+    waiting = links.where(F.col(done).isNull() | (F.size(done) == 0)).drop(done)
+    fresh = first_per_key(key_difference(waiting, taken, [key]), [key], others)
+    return fresh if limit is None else fresh.orderBy(key).limit(limit)
+
+
 def numbered(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """`row_no` 0, 1, 2 .. in the order of a unique numeric key.
 
