@@ -70,34 +70,30 @@ def band_plan(n_bits: int, k: int, n_signatures: int) -> list[tuple[int, int, in
     return min((_bands(n_bits, m, k) for m in range(fewest, most + 1)), key=cost)
 
 
-def _flips(width: int, flips: int) -> Column:
-    """Bit masks with at most `flips` of `width` bits set."""
-    masks = [sum(1 << i for i in c) for n in range(flips + 1) for c in combinations(range(width), n)]
-    return F.expr(f"array({', '.join(f'{m}L' for m in masks)})")
-
-
-def _around(value: Column, band: int, width: int, flips: int) -> Column:
-    """The band's values within so many flips, as array of (band, value)."""
-    return F.transform(
-        _flips(width, flips), lambda f: F.struct(F.lit(band).alias("band"), value.bitwiseXOR(f).alias("value"))
-    )
+def _flips(plan: list[tuple[int, int, int]], left: bool) -> Column:
+    """Constant array of (band, flip): the bit masks one side applies to each band."""
+    masks = [
+        (band, sum(1 << i for i in c))
+        for band, (_, width, radius) in enumerate(plan)
+        for n in range(_reach(radius, left) + 1)
+        for c in combinations(range(width), n)
+    ]
+    return F.expr(f"array({', '.join(f'struct({band} AS band, {mask}L AS flip)' for band, mask in masks)})")
 
 
 def _entries(known: DataFrame, plan: list[tuple[int, int, int]], left: bool) -> DataFrame:
     """One row per (band, value) under which a signature is filed."""
-    filed = [_around(F.get("_b", F.lit(b)), b, w, _reach(r, left)) for b, (_, w, r) in enumerate(plan)]
-    return known.withColumn("_e", F.explode(F.concat(*filed))).select("signature", "_w", "_b", "_e.band", "_e.value")
+    probed = known.withColumn("_f", F.explode(_flips(plan, left)))
+    value = F.get("_b", F.col("_f.band")).bitwiseXOR(F.col("_f.flip"))
+    return probed.select("signature", "_w", "_b", F.col("_f.band").alias("band"), value.alias("value"))
 
 
 def _crowds(known: DataFrame, plan: list[tuple[int, int, int]], hot_bucket: int) -> DataFrame:
     """(band, value, _salts): values under which far more signatures are filed than one task should hold."""
     own = known.select(F.posexplode("_b").alias("band", "value")).groupBy("band", "value").agg(F.count("*").alias("_n"))
-    hot = own.where(F.col("_n") > hot_bucket)
-    spread = [
-        F.when(F.col("band") == b, _around(F.col("value"), b, w, _reach(r, False))) for b, (_, w, r) in enumerate(plan)
-    ]
-    around = hot.select(F.explode(F.coalesce(*spread)).alias("_e"), "_n")
-    total = around.groupBy("_e.band", "_e.value").agg(F.sum("_n").alias("_n"))
+    hot = own.where(F.col("_n") > hot_bucket).withColumn("_f", F.explode(_flips(plan, False))).where("_f.band = band")
+    around = hot.select("band", F.col("value").bitwiseXOR(F.col("_f.flip")).alias("value"), "_n")
+    total = around.groupBy("band", "value").agg(F.sum("_n").alias("_n"))
     return total.select("band", "value", F.ceil(F.col("_n") / hot_bucket).cast("int").alias("_salts"))
 
 
@@ -136,11 +132,11 @@ def near_pairs(
     a = left.select(F.col("signature").alias("left"), F.col("_w").alias("_lw"), F.col("_b").alias("_lb"), *on)
     b = right.select(F.col("signature").alias("right"), F.col("_w").alias("_rw"), F.col("_b").alias("_rb"), *on)
     total = distance(F.col("_lw"), F.col("_rw"), n_bits)
-    radii = F.expr(f"array({', '.join(f'struct({i} AS band, {r} AS radius)' for i, (_, _, r) in enumerate(plan))})")
 
-    def far_before(x: Column) -> Column:
-        apart = F.bit_count(F.get("_lb", x["band"]).bitwiseXOR(F.get("_rb", x["band"])))
-        return (x["band"] >= F.col("band")) | (apart > x["radius"])
+    def far_before(band: int, radius: int) -> Column:
+        """True unless the pair is close in this band and meets in a later one."""
+        apart = F.bit_count(F.get("_lb", F.lit(band)).bitwiseXOR(F.get("_rb", F.lit(band))))
+        return (F.col("band") <= band) | (apart > radius)
 
     mine = F.get("_lb", F.col("band")).bitwiseXOR(F.col("value"))
     theirs = F.get("_rb", F.col("band")).bitwiseXOR(F.col("value"))
@@ -148,7 +144,9 @@ def near_pairs(
     fewest = F.bit_count(mine) == F.greatest(F.lit(0), F.bit_count(mine) + F.bit_count(theirs) - right_reach)
     lowest = (mine == 0) | (theirs == 0) | (mine < theirs.bitwiseAND(-theirs))
     one_value = (mine.bitwiseAND(theirs) == 0) & lowest & fewest
-    taken = (F.col("left") < F.col("right")) & (total <= k) & one_value & F.forall(radii, far_before)
+    taken = (total <= k) & (F.col("left") < F.col("right")) & one_value
+    for band, (_, _, radius) in enumerate(plan[:-1]):
+        taken = taken & far_before(band, radius)
     # Sizes are guessed from the table before its rows were multiplied, so no side may be broadcast.
     pairs = a.hint("merge").join(b, on).where(taken).select("left", "right", total.alias("distance"))
     return pairs.withColumn("similarity", 1 - F.col("distance") / F.lit(n_bits))
