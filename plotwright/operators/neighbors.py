@@ -121,8 +121,9 @@ def near_pairs(
     known = known.select("signature", "_w", bands.alias("_b"))
     left, right = _entries(known, plan, True), _entries(known, plan, False)
     on = ["band", "value"]
-    if expected > hot_bucket:
-        crowds = _crowds(known, plan, hot_bucket)
+    # Values no crowd can gather under need no salt, as with few signatures.
+    crowds = materialized(_crowds(known, plan, hot_bucket), "crowds") if expected > hot_bucket else None
+    if crowds is not None and not crowds.isEmpty():
         salts = F.coalesce("_salts", F.lit(1))
         left = left.join(crowds, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         right = right.join(crowds, on, "left").withColumn(
