@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,22 +13,32 @@ from .common import without
 WIDTH = 3
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, not again for each element a lambda goes through."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _filled(text: Column) -> Column:
     """The lines with something in them, as (place among all lines, trimmed line)."""
-    numbered = F.transform(F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("at"), F.btrim(line, F.lit(" \t\r")).alias("line")))
+    numbered = F.transform(
+        F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("at"), F.btrim(line, F.lit(" \t\r")).alias("line"))
+    )
     return F.filter(numbered, lambda x: x["line"] != "")
 
 
-def _windows(filled: Column, width: int) -> Column:
-    def one(i: Column) -> Column:
-        lines = F.transform(F.slice(filled, i + 1, width), lambda x: x["line"])
-        return F.struct(
-            F.unhex(F.md5(F.array_join(lines, "\n"))).alias("window"),
-            F.get(filled, i)["at"].alias("first"),
-            F.get(filled, i + width - 1)["at"].alias("last"),
-        )
+def _windows(text: Column, width: int) -> Column:
+    def of(filled: Column) -> Column:
+        def one(i: Column) -> Column:
+            part = [F.get(filled, i + k) for k in range(width)]
+            return F.struct(
+                F.unhex(F.md5(F.concat_ws("\n", *[p["line"] for p in part]))).alias("window"),
+                part[0]["at"].alias("first"),
+                part[-1]["at"].alias("last"),
+            )
 
-    return F.when(F.size(filled) >= width, F.transform(F.sequence(F.lit(0), F.size(filled) - width), one))
+        return F.when(F.size(filled) >= width, F.transform(F.sequence(F.lit(0), F.size(filled) - width), one))
+
+    return _once(_filled(text), of)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -51,7 +63,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = without(docs, ["n_lines", "n_removed", "n_windows"]).withColumn("__key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     place = [F.col("id").isNull().alias("no_id"), F.col("id"), F.col("key"), F.col("first")]
     windows = (
-        keyed.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.inline(_windows(_filled(F.col(text_col)), width)))
+        keyed.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.inline(_windows(F.col(text_col), width)))
         .select("id", "key", "window", "first", "last")
     )
     firsts = (
@@ -72,8 +84,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     text = F.col(text_col)
     lines = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    def without_gone(all_lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("__gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
+
+    rest = _once(lines, without_gone)
     return joined.select(
         *[
             (F.when(F.col("__gone").isNull(), text).otherwise(rest) if c == text_col else F.col(f"`{c}`")).alias(c)
