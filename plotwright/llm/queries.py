@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines
+from . import bpe, decontaminate, lines, toxicity
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -14,6 +15,18 @@ __all__ = ["oracle_sql", "queries"]
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def fold(modulus: int, id_col: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo `modulus`."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return toxicity.score_texts(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query("op5_bpe")
 def op5_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(spark, public_tokenizers.path(RANKS))
