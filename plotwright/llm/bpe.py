@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import with_fields
 
 # Characters whose words are gathered before one replay; bounds a worker's memory.
-CHUNK_CHARS = 48_000_000
+CHUNK_CHARS = 6_000_000
 
 
 class Merges:
@@ -28,7 +28,7 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.token: dict[int, bytes] = {v: k for k, v in ranks.items()}
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs: list[tuple[int, int]] = []
         # Tokens that can become part of a token of lower rank: after such a merge, the
         # word has to go back to that lower rank before its other merges go on.
@@ -41,15 +41,15 @@ class Merges:
                     self.reverting.update(x for x in (a, b) if x > rank)
         pairs.sort()
         self.pair_keys = np.array([k for k, _ in pairs], np.int64)
-        self.pair_ranks = np.array([r for _, r in pairs], np.int64)
+        self.pair_ranks = np.array([r for _, r in pairs], np.int32)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank at which each pair merges, -1 where it never does."""
         if not len(self.pair_keys):
-            return np.full(len(left), -1, np.int64)
-        keys = (left << 32) | right
+            return np.full(len(left), -1, np.int32)
+        keys = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(-1))
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -64,21 +64,21 @@ def replay(merges: Merges, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     from the lowest; all places of one are merged at once, and only their neighbors get new
     ranks and index entries. Words that are tokens themselves need no merge.
     """
-    whole = np.array([merges.ranks.get(w, -1) for w in words], np.int64)
+    whole = np.array([merges.ranks.get(w, -1) for w in words], np.int32)
     rest = [w if k < 0 else b"\0" for w, k in zip(words, whole.tolist(), strict=True)]
     lengths = np.fromiter(map(len, rest), np.int64, len(rest))
     tokens = merges.byte_ids[np.frombuffer(b"".join(rest), np.uint8)]
     size = len(tokens)
-    word_of = np.repeat(np.arange(len(words)), lengths)
+    word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     ends = np.cumsum(lengths)
     filled = lengths > 0
-    right = np.arange(1, size + 1)
+    right = np.arange(1, size + 1, dtype=np.int32)
     right[ends[filled] - 1] = -1
-    left = np.arange(-1, size - 1)
+    left = np.arange(-1, size - 1, dtype=np.int32)
     left[(ends - lengths)[filled]] = -1
     alive = np.ones(size, bool)
 
-    rank = np.full(size, -1, np.int64)
+    rank = np.full(size, -1, np.int32)
     inner = np.flatnonzero(right >= 0)
     rank[inner] = merges.rank_of(tokens[inner], tokens[right[inner]])
     index: dict[int, list[np.ndarray]] = {}
@@ -136,7 +136,7 @@ def replay(merges: Merges, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         enter(np.unique(np.concatenate((ahead, before))))
     tokens[(ends - lengths)[whole >= 0]] = whole[whole >= 0]
     starts = np.concatenate(([0], np.cumsum(np.bincount(word_of[alive], minlength=len(words)))))
-    return tokens[alive].astype(np.int32), starts
+    return tokens[alive], starts
 
 
 def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -157,7 +157,7 @@ def _encode_chunk(merges: Merges, pattern: regex.Pattern, texts: list[str | None
     docs = []
     for text in texts:
         found = pattern.findall(text or "")
-        docs.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.int64, len(found)))
+        docs.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), np.int32, len(found)))
     flat, starts = replay(merges, [w.encode("utf-8") for w in numbers])
     pieces = [_gather(flat, starts, doc) for doc in docs]
     ids = np.concatenate([p for p, _ in pieces]) if pieces else np.zeros(0, np.int32)
@@ -213,10 +213,10 @@ def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "ids", bytes_col: str
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = _merges(ranks.value).token
         for lists in batches:
-            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             places = np.concatenate(([0], np.cumsum(sizes))).tolist()
-            yield pa.array([b"".join([token[i] for i in flat[a:b]]) for a, b in pairwise(places)], pa.binary())
+            yield pa.array([b"".join([token[i] for i in flat[a:b].tolist()]) for a, b in pairwise(places)], pa.binary())
 
     return with_fields(df, F.struct(decoded(F.col(ids_col)).alias(bytes_col)), [bytes_col])
 
