@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,23 +84,16 @@ def _run_end(keys: pa.Array, value: pa.Scalar) -> int:
     return low
 
 
-def by_group(df: DataFrame, key: str, work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+def by_group(
+    df: DataFrame, key: str, work: Callable[[pa.Table], pa.Table | None], schema: str, rows: int = 20_000
+) -> DataFrame:
     """`work` over tables of whole groups; groups of one `key` value are never split, small ones come together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, key):
+        for group in whole_groups(batches, key, rows):
             out = work(group)
             if out is not None and out.num_rows:
                 yield from out.to_batches(max_chunksize=10_000)
 
     parts = shuffle_partitions(df.sparkSession)
     return df.repartition(parts, key).sortWithinPartitions(key).mapInArrow(run, schema)
-
-
-@lru_cache(maxsize=8)
-def powers(base: int, count: int) -> tuple[int, ...]:
-    out, value = [], 1
-    for _ in range(count):
-        out.append(value)
-        value = value * base % (1 << 64)
-    return tuple(out)

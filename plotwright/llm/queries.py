@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, toxicity
+from . import bpe, decontaminate, lines, ngram_join, toxicity
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -27,6 +27,11 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_texts(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query("op2_ngram_join")
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op5_bpe")
 def op5_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(spark, public_tokenizers.path(RANKS))
