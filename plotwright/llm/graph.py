@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import ASKED
 from ..session import materialized
 
 
@@ -37,3 +38,22 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
         mark = now
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("v", "v"))
+
+
+def settled(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """What each class (digest, class, copies) comes to, from partial results (class, root, links) of its comparisons.
+
+    The columns are digest, the number of its rows (as `lookup_join` wants it), class_id, n_links (its
+    other copies included) and component_id. Every row of `found` says how many links a comparison
+    saw for the class, and one other class that they reach.
+    """
+    totals = found.groupBy("class").agg(F.sum("links").alias("links"))
+    groups = components(found, "class", "root")
+    joined = classes.join(totals, "class", "left").join(groups, F.col("class") == F.col("node"), "left")
+    return joined.select(
+        "digest",
+        F.col("copies").alias(ASKED),
+        F.col("class").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "class").alias("component_id"),
+    )

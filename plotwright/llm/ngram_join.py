@@ -11,10 +11,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import ASKED, lookup_join
+from ..operators.lookup import lookup_join
 from ..session import materialized
 from .common import by_group, words_of
-from .graph import components
+from .graph import settled
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -257,20 +257,7 @@ def near_duplicates(
     found = by_group(texts, "g", _verifier(least, width, threshold), "class long, root long, links long", rows=3000)
     found = materialized(found, "links")
 
-    totals = found.groupBy("class").agg(F.sum("links").alias("links"))
-    groups = components(found, "class", "root")
-    answer = (
-        classes.select("digest", "class", F.col("copies").alias(ASKED))
-        .join(totals, "class", "left")
-        .join(groups, F.col("class") == F.col("node"), "left")
-        .select(
-            "digest",
-            ASKED,
-            F.col("class").alias("class_id"),
-            (F.coalesce("links", F.lit(0)) + F.col(ASKED) - 1).alias("n_links"),
-            F.coalesce("component", "class").alias("component_id"),
-        )
-    )
+    answer = settled(classes.select("digest", "class", "copies"), found)
     rows = lookup_join(sketches.select("id", "digest"), answer, ["digest"], F.col("id").isNotNull() & F.col("digest").isNotNull())
     component = F.coalesce("component_id", "id")
     return rows.select(

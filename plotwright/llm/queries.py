@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, ngram_join, toxicity
+from ..session import work_path
+from . import bpe, decontaminate, lattice, lines, ngram_join, token_counts, toxicity, url_rules
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -32,6 +33,38 @@ def op2_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+RULES = [
+    ("net/", url_rules.BLOCK),
+    ("example.net/en/", url_rules.ALLOW),
+    ("example.com/de/", url_rules.BLOCK),
+    ("org/fr/", url_rules.ALLOW),
+]
+
+
+@query(
+    "op3_url_rules",
+    r"""WITH cut AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path']) AS u FROM pages),
+             page AS (SELECT page_id, translate(u.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, u.path AS path FROM cut),
+             ruled AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+                                      WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+                                      WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+                                      WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM page)
+        SELECT page_id, host, path, rule,
+               CASE WHEN host = '' THEN 'block' WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN regexp_matches(host, 'casino|porn|xxx|viagra') OR regexp_matches(path, 'casino|porn|xxx|viagra') THEN 'block'
+                    ELSE 'allow' END AS verdict FROM ruled""",
+)
+def op3_url_rules(spark, sf_dir):
+    return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(docs, path, work_path(spark, "token-cache"))
+
+
 @query("op5_bpe")
 def op5_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(spark, public_tokenizers.path(RANKS))
@@ -45,6 +78,11 @@ def op5_bpe(spark, sf_dir):
     )
 
 
+@query("op6_lattice")
+def op6_lattice(spark, sf_dir):
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 @query(
     "op7_decontaminate",
     r"""WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
