@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import bpe, decontaminate, lattice, lines, ngram_join, token_counts, toxicity, url_rules
+from . import bpe, decontaminate, lattice, lines, lm_scores, ngram_join, token_counts, toxicity, url_rules
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -130,3 +130,30 @@ LINES_SQL = r"""
 def op9_line_dedup(spark, sf_dir):
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+LM_SQL = r"""
+    WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+         word AS (SELECT doc_id, i, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2, CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3
+                  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+         gram AS (SELECT doc_id, 1 AS k, g1 AS g FROM word UNION ALL SELECT doc_id, 2, g2 FROM word WHERE g2 IS NOT NULL UNION ALL SELECT doc_id, 3, g3 FROM word WHERE g3 IS NOT NULL),
+         own AS (SELECT doc_id, k, g, count(*) AS n FROM gram GROUP BY doc_id, k, g),
+         total AS (SELECT k, g, sum(n) AS n FROM own GROUP BY k, g),
+         others AS (SELECT own.doc_id, own.k, own.g, total.n - own.n AS n FROM own JOIN total USING (k, g)),
+         counted AS (SELECT word.doc_id, word.i, coalesce(a.n, 0) AS n1, coalesce(b.n, 0) AS n2, coalesce(c.n, 0) AS n3, g2, g3,
+                            (SELECT count(*) FROM word) - len(doc.w) AS n0
+                     FROM word JOIN doc USING (doc_id) LEFT JOIN others a ON a.doc_id = word.doc_id AND a.k = 1 AND a.g = g1
+                     LEFT JOIN others b ON b.doc_id = word.doc_id AND b.k = 2 AND b.g = g2 LEFT JOIN others c ON c.doc_id = word.doc_id AND c.k = 3 AND c.g = g3),
+         context AS (SELECT *, lag(n1) OVER (PARTITION BY doc_id ORDER BY i) AS c1, lag(n2) OVER (PARTITION BY doc_id ORDER BY i) AS c2 FROM counted),
+         scored AS (SELECT doc_id, CASE WHEN n3 > 0 THEN ln(n3 / c2)
+                                        WHEN n2 > 0 THEN ln(n2 / c1) + CASE WHEN g3 IS NOT NULL THEN ln(0.4) ELSE 0 END
+                                        ELSE ln(CASE WHEN n1 > 0 THEN n1 ELSE 0.4 END / greatest(n0, 1)) + CASE WHEN g2 IS NOT NULL THEN ln(0.4) ELSE 0 END + CASE WHEN g3 IS NOT NULL THEN ln(0.4) ELSE 0 END END AS s
+                    FROM context)
+    SELECT doc.doc_id, len(w) AS n_words, round(coalesce(s, 0), 5) AS log_score, round(s / len(w), 7) AS mean_score
+    FROM doc LEFT JOIN (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id) USING (doc_id)"""
+
+
+@query("op10_lm_scores", LM_SQL)
+def op10_lm_scores(spark, sf_dir):
+    out = lm_scores.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"), F.round("mean_score", 7).alias("mean_score"))
