@@ -20,6 +20,7 @@ from .common import with_fields
 
 # Characters whose words are gathered before one replay; bounds a worker's memory.
 CHUNK_CHARS = 6_000_000
+ROWS_AT_ONCE = 500
 
 
 class Merges:
@@ -190,15 +191,17 @@ def encode(
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merges, compiled = _merges(ranks.value), regex.compile(pattern)
         for texts in batches:
-            parts, chunk, chars = [], [], 0
-            for text in texts.to_pylist():
-                if chunk and chars + len(text or "") > chunk_chars:
-                    parts.append(_encode_chunk(merges, compiled, chunk))
-                    chunk, chars = [], 0
-                chunk.append(text)
-                chars += len(text or "")
-            parts.append(_encode_chunk(merges, compiled, chunk))
-            yield pa.concat_arrays(parts)
+            # Answers leave as soon as they are there; their rows need not come in the batches of the texts.
+            chunk, chars = [], 0
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                for text in texts[at : at + ROWS_AT_ONCE].to_pylist():
+                    if chunk and chars + len(text or "") > chunk_chars:
+                        yield _encode_chunk(merges, compiled, chunk)
+                        chunk, chars = [], 0
+                    chunk.append(text)
+                    chars += len(text or "")
+            if chunk:
+                yield _encode_chunk(merges, compiled, chunk)
 
     return with_fields(docs, F.struct(ids(F.col(text_col)).alias(ids_col)), [ids_col])
 
@@ -212,11 +215,13 @@ def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "ids", bytes_col: str
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = _merges(ranks.value).token
-        for lists in batches:
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            places = np.concatenate(([0], np.cumsum(sizes))).tolist()
-            yield pa.array([b"".join([token[i] for i in flat[a:b].tolist()]) for a, b in pairwise(places)], pa.binary())
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                lists = batch[at : at + ROWS_AT_ONCE]
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                places = np.concatenate(([0], np.cumsum(sizes))).tolist()
+                yield pa.array([b"".join([token[i] for i in flat[a:b].tolist()]) for a, b in pairwise(places)], pa.binary())
 
     return with_fields(df, F.struct(decoded(F.col(ids_col)).alias(bytes_col)), [bytes_col])
 
