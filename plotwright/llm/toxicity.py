@@ -16,6 +16,8 @@ from .common import with_fields
 # Bounds of the labelled sample a model is fitted on.
 SAMPLE_ROWS = 6000
 SAMPLE_CHARS = 40_000_000
+# Texts whose subwords are held at once while fitting.
+CHUNK_TEXTS = 400
 BUCKETS = 1 << 20
 DIM = 8
 GRAMS = (3, 4, 5, 6)
@@ -138,9 +140,12 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 7
     weights = np.zeros(BUCKETS)
     if not toxic or not clean:
         return Model(weights, offset)
-    rows, buckets, shares = _bags(*_tokens(texts), BUCKETS)
-    with_it = np.bincount(buckets, minlength=BUCKETS)
-    in_toxic = np.bincount(buckets, weights=y[rows], minlength=BUCKETS)
+    chunks = range(0, len(texts), CHUNK_TEXTS)
+    with_it, in_toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in chunks:
+        rows, buckets, _ = _bags(*_tokens(texts[at : at + CHUNK_TEXTS]), BUCKETS)
+        with_it += np.bincount(buckets, minlength=BUCKETS)
+        in_toxic += np.bincount(buckets, weights=y[at + rows], minlength=BUCKETS)
     rate = with_it / len(y)
     error = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / toxic + 1 / clean))
     apart = np.abs(in_toxic / toxic - (with_it - in_toxic) / clean) / error
@@ -149,8 +154,13 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 7
         return Model(weights, offset)
     number = np.full(BUCKETS, -1)
     number[chosen] = np.arange(len(chosen))
-    used = number[buckets] >= 0
-    rows, grams, shares = rows[used], number[buckets[used]], shares[used][:, None]
+    parts = []
+    for at in chunks:
+        rows, buckets, shares = _bags(*_tokens(texts[at : at + CHUNK_TEXTS]), BUCKETS)
+        used = number[buckets] >= 0
+        parts.append((at + rows[used], number[buckets[used]], shares[used]))
+    rows, grams, shares = (np.concatenate(p) for p in zip(*parts, strict=True))
+    shares = shares[:, None]
     by_gram = np.argsort(grams, kind="stable")
 
     rng = np.random.default_rng(seed)
