@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import bpe, decontaminate, lattice, lines, lm_scores, ngram_join, token_counts, toxicity, url_rules
+from . import bpe, decontaminate, language, lattice, lines, lm_scores, ngram_join, token_counts, toxicity, url_rules
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -111,6 +111,14 @@ def op7_decontaminate(spark, sf_dir):
     )
 
 
+@query("op8_language")
+def op8_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.select("doc_id", "text", "lang"), fold(4) != 2)
+    labelled = language.label_languages(docs.select("doc_id", "text"), model)
+    return labelled.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 LINES_SQL = r"""
     WITH doc AS (SELECT doc_id, text, md5(coalesce(text, '')) AS k, string_split(text, chr(10)) AS l FROM {documents}),
          filled AS (SELECT doc_id, k, list_filter(list_transform(range(0, len(l)), lambda i: struct_pack(at := i, line := trim(l[i + 1], ' ' || chr(9) || chr(13)))), lambda x: x.line <> '') AS f
