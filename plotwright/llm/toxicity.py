@@ -26,7 +26,7 @@ LEAST_TEXTS = 5
 STEPS = 150
 RATE = 1.0
 # Characters whose words are looked up at once; bounds a worker's memory.
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 4_000_000
 
 FIELDS = ["score", "predicted"]
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…—–¿¡"
@@ -226,19 +226,22 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", chunk_cha
     """
     shared: Broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
+    def scored(known: Model, chunk: list[str | None]) -> pa.StructArray:
+        score = known.score(chunk)
+        return pa.StructArray.from_arrays([pa.array(score), pa.array((score >= 0.5).astype(np.int32))], FIELDS)
+
     @F.arrow_udf("score double, predicted int")
     def answer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            scores, chunk, chars = [np.zeros(0)], [], 0
-            for text in texts.to_pylist():
-                if chunk and chars + len(text or "") > chunk_chars:
-                    scores.append(shared.value.score(chunk))
-                    chunk, chars = [], 0
-                chunk.append(text)
-                chars += len(text or "")
+            chunk, chars = [], 0
+            for at in range(0, len(texts), 500):
+                for text in texts[at : at + 500].to_pylist():
+                    if chunk and chars + len(text or "") > chunk_chars:
+                        yield scored(shared.value, chunk)
+                        chunk, chars = [], 0
+                    chunk.append(text)
+                    chars += len(text or "")
             if chunk:
-                scores.append(shared.value.score(chunk))
-            score = np.concatenate(scores)
-            yield pa.StructArray.from_arrays([pa.array(score), pa.array((score >= 0.5).astype(np.int32))], FIELDS)
+                yield scored(shared.value, chunk)
 
     return with_fields(docs, answer(F.col(text_col)), FIELDS)
