@@ -78,7 +78,8 @@ def grams_of(texts: list[str | None], order: int) -> Grams:
     ranking = np.argsort(every, kind="stable")
     where = np.empty(len(every), np.int32)
     where[ranking] = np.arange(len(every), dtype=np.int32)
-    number = [np.where(n >= 0, where[np.maximum(n, 0) + o], -1) for n, o in zip(number, offsets, strict=False)]
+    last = len(every) - 1
+    number = [np.where(n >= 0, where[np.minimum(np.maximum(n, 0) + o, last)], -1) for n, o in zip(number, offsets, strict=False)]
     return Grams(every[ranking], np.concatenate(counts)[ranking], number, doc, place, sizes)
 
 
@@ -158,7 +159,8 @@ def _own(grams: Grams, k: int) -> np.ndarray:
     at = grams.number[k]
     if k == 0:
         return grams.sizes[grams.doc]
-    key = grams.doc.astype(np.int64) * len(grams.found) + at
+    # Words without such a gram have -1, which must not meet the last gram of the document before.
+    key = grams.doc.astype(np.int64) * (len(grams.found) + 1) + at + 1
     order = np.argsort(key)
     ranked = key[order]
     begins = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
