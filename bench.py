@@ -10,12 +10,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from plotwright.checks import queries  # noqa: E402
-from plotwright.session import build_session  # noqa: E402
+from plotwright.session import build_session, drop_work  # noqa: E402
 
 HEADLINES = [
     "daily_load",
@@ -54,6 +55,7 @@ def main() -> None:
         spark__driver__memory="12g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="plotwright-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = queries()
@@ -63,6 +65,7 @@ def main() -> None:
             start = time.perf_counter()
             registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
+            drop_work(spark)
     scale = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))

@@ -11,7 +11,7 @@ from ..session import materialized
 from .registry import check, table
 
 SIDE = 8
-CODES = (("ahash", 8, 64), ("dhash", 8, 56), ("phash", 4, 16), ("whash", 4, 16))
+CODES = (("ahash", 8, 64), ("dhash", 8, 64), ("phash", 4, 16), ("whash", 4, 16))
 
 
 def _grids(spark, sf_dir):
@@ -24,8 +24,11 @@ _BLOCKS = (
     "list_transform(range(16), lambda b: (g[(b // 4) * 16 + (b % 4) * 2 + 1] + g[(b // 4) * 16 + (b % 4) * 2 + 2]"
     " + g[(b // 4) * 16 + (b % 4) * 2 + 9] + g[(b // 4) * 16 + (b % 4) * 2 + 10]) / 4)"
 )
+# Eight cells as nine stretches: stretch k takes k ninths of the cell before and 9 - k - 1 of the cell at k.
+_CELL = "(coalesce(g[(p // 8) * 8 + {k}], 0) * {k} + coalesce(CASE WHEN {k} < 8 THEN g[(p // 8) * 8 + {k} + 1] END, 0) * (8 - {k}))"
 _DIFF = (
-    "list_transform(range(56), lambda p: CASE WHEN g[(p // 7) * 8 + p % 7 + 2] > g[(p // 7) * 8 + p % 7 + 1] THEN '1' ELSE '0' END)"
+    "list_transform(range(64), lambda p: CASE WHEN "
+    + _CELL.format(k="(p % 8 + 1)") + " > " + _CELL.format(k="(p % 8)") + " THEN '1' ELSE '0' END)"
 )
 _TEXT = {
     "ahash": f"SELECT vec_id, array_to_string({_AHASH}, '') AS bits FROM e",

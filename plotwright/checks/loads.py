@@ -104,6 +104,19 @@ def standardize_titled(spark, sf_dir):
     )
 
 
+@check(
+    "standardize_text_only",
+    """SELECT CAST(p_partkey AS VARCHAR) AS site_id, p_size * 1000.0::DOUBLE AS price, CASE WHEN p_size % 2 = 0 THEN p_size + 0.5::DOUBLE ELSE 92.0::DOUBLE END AS area_build FROM part""",
+)
+def standardize_text_only(spark, sf_dir):
+    """Without a list of the feed's fields, numbers come from the text wherever no ready number is given."""
+    data = TITLED.replace(
+        "CAST(p_size AS STRING) || '.5, ", "CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS STRING) || '.5' ELSE 'null' END || ', "
+    )
+    out = daily_load.standardize_titled(derive(spark, sf_dir, data), _today())
+    return out.select("site_id", "price", "area_build")
+
+
 # Held listings of two sources, and a feed of the first: customers who ordered in 2001.
 HELD = """
     SELECT c_custkey AS internal_id, CAST(c_custkey AS STRING) AS site_id, CASE WHEN c_acctbal > 8000 THEN 2 ELSE 1 END AS source_id, c_nationkey < 22 AS avalaible,
@@ -150,6 +163,26 @@ def load_summary(spark, sf_dir):
     )
 
 
+# Every fifth held listing has no source, and the feed names each listing three times at different prices.
+HELD_LOOSE = f"SELECT * EXCEPT (source_id), CASE WHEN internal_id % 5 = 0 THEN NULL ELSE source_id END AS source_id FROM ({HELD})"
+FEED_LOOSE = f"SELECT id, price + extra AS price, name FROM ({DAY_FEED}), (SELECT explode(array(0, 1, 2)) AS extra)"
+
+
+@check(
+    "daily_load_loose",
+    f"""WITH h AS (SELECT * REPLACE (CASE WHEN internal_id % 5 = 0 THEN NULL ELSE source_id END AS source_id) FROM ({duck(HELD)})),
+            f AS (SELECT CAST(id AS VARCHAR) AS site_id FROM ({duck(DAY_FEED)})),
+            n AS (SELECT site_id, 1 AS source_id FROM f WHERE site_id NOT IN (SELECT site_id FROM h WHERE source_id = 1 AND archived_date IS NULL))
+        SELECT source_id, count(*) AS n_listings, count(*) AS n_ids FROM (SELECT site_id, source_id FROM h UNION ALL FROM n) GROUP BY 1""",
+)
+def daily_load_loose(spark, sf_dir):
+    """No held listing is lost for want of a source, none is inserted twice, and no id stands for two."""
+    held = conform(derive(spark, sf_dir, HELD_LOOSE), LISTING)
+    feed = daily_load.standardize_flat(derive(spark, sf_dir, FEED_LOOSE), _today())
+    listings = daily_load.load_source(feed, held, 1, _today()).listings
+    return listings.groupBy("source_id").agg(F.count("*").alias("n_listings"), F.countDistinct("internal_id").alias("n_ids"))
+
+
 BRONZE = """
     SELECT o_orderkey AS internal_id, CAST(o_orderkey AS STRING) AS site_id, o_orderdate AS added_date, o_orderstatus <> 'F' AS avalaible,
            CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS archived_date, 1 AS source_id,

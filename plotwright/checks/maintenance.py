@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..operators import diff, maintain, runlog
@@ -26,6 +28,30 @@ def latest_snapshot(spark, sf_dir):
     return tables.latest_snapshot(_events_by_day(spark, sf_dir), "day").select("event_id", "user_id", "event_type", "value")
 
 
+@check(
+    "latest_partition",
+    f"SELECT event_id, user_id, event_type, value FROM events WHERE {DAY} = (SELECT max({DAY}) FROM events)",
+)
+def latest_partition(spark, sf_dir):
+    """The same from a table partitioned by day, of which one folder is read."""
+    path = work_path(spark, "events")
+    sinks.append(_events_by_day(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "day"), path, ["day"])
+    return tables.read_latest_snapshot(spark, path, "day").drop("day")
+
+
+@check(
+    "dropped_days",
+    f"""SELECT event_id, {DAY} AS day FROM events WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - 2""",
+)
+def dropped_days(spark, sf_dir):
+    """What is left of a partitioned table once the days before the last two are deleted."""
+    path = work_path(spark, "events")
+    sinks.append(_events_by_day(spark, sf_dir).select("event_id", "day"), path, ["day"])
+    newest = datetime.date.fromisoformat(tables.newest_value(spark, path, "day"))
+    sinks.drop_days(spark, path, str(newest - datetime.timedelta(days=1)), "day")
+    return spark.read.schema("event_id bigint, day string").parquet(path)
+
+
 @check(
     "pruned_scan",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000",
@@ -122,10 +148,17 @@ def delete_keys(spark, sf_dir):
     return maintain.delete_keys(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), gone, ["c_custkey"])
 
 
-@check("empty_clone", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@check(
+    "empty_clone",
+    """SELECT column_name, lower(CASE data_type WHEN 'VARCHAR' THEN 'string' ELSE data_type END) AS data_type, 0 AS n_rows
+       FROM (SELECT unnest(['s_suppkey', 's_name', 's_acctbal']) AS column_name, unnest([typeof(a), typeof(b), typeof(c)]) AS data_type
+             FROM (SELECT any_value(s_suppkey) AS a, any_value(s_name) AS b, any_value(s_acctbal) AS c FROM supplier))""",
+)
 def empty_clone(spark, sf_dir):
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    return tables.empty_like(supplier).unionByName(supplier)
+    """The columns and types of a clone, and its number of rows."""
+    clone = tables.empty_like(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal"))
+    columns = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in clone.dtypes])
+    return clone.agg(F.count("*").alias("n_rows")).select(F.inline(columns), "n_rows")
 
 
 @check(
@@ -294,6 +327,22 @@ def price_changes(spark, sf_dir):
     return diff.price_changes(prices).withColumn("price_date", F.date_format("price_date", "yyyy-MM-dd"))
 
 
+@check(
+    "price_changes_today",
+    """WITH p AS (SELECT user_id, CAST(ts AS DATE) AS d, max(value) AS price FROM events GROUP BY 1, 2)
+       SELECT a.user_id AS internal_id, b.price AS old_price, a.price AS new_price, strftime(a.d, '%Y-%m-%d') AS price_date
+       FROM p a JOIN p b ON a.user_id = b.user_id AND b.d = a.d - 1 WHERE a.price <> b.price AND a.d = (SELECT max(d) FROM p)""",
+)
+def price_changes_today(spark, sf_dir):
+    """The newest day of a history partitioned by day: two of its folders are read."""
+    path = work_path(spark, "prices")
+    prices = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("internal_id"), F.to_date("ts").alias("snapshot_date"))
+    sinks.append(prices.agg(F.max("value").alias("price")), path, ["snapshot_date"])
+    today = datetime.date.fromisoformat(tables.newest_value(spark, path, "snapshot_date"))
+    history = spark.read.schema("internal_id bigint, price double, snapshot_date date").parquet(path)
+    return diff.price_changes(history, [today]).withColumn("price_date", F.date_format("price_date", "yyyy-MM-dd"))
+
+
 @check(
     "price_snapshot",
     "SELECT o_orderkey AS internal_id, o_totalprice AS price, '2001-08-02' AS snapshot_date FROM orders WHERE o_orderstatus <> 'P'",
@@ -356,7 +405,8 @@ def sync_summary(spark, sf_dir):
 
 FAILURES = """
     SELECT CAST(ts AS STRING) AS timestamp, CAST(user_id AS STRING) AS internal_id,
-           'http://example.com/' || CAST(event_id AS STRING) AS url, event_type AS source_column, props AS error_message
+           'http://example.com/' || CAST(event_id AS STRING) AS url, event_type AS source_column,
+           CASE WHEN event_id % 3 = 0 THEN concat('Traceback "x", y:', chr(10), '  File "a.py", line 1', chr(10), chr(10), props) ELSE props END AS error_message
     FROM {events} WHERE event_type = 'error'"""
 
 
@@ -369,8 +419,8 @@ def failure_ledger(spark, sf_dir):
     failures = derive(spark, sf_dir, FAILURES)
     path = work_path(spark, "failures")
     sinks.record_failures(failures, path)
+    csv = sinks.read_failures(spark, path, failures.schema).withColumn("ledger", F.lit("csv"))
     read = spark.read.schema(failures.schema)
-    csv = read.option("header", True).csv(f"{path}/csv").withColumn("ledger", F.lit("csv"))
     out = csv.unionByName(read.json(f"{path}/json").withColumn("ledger", F.lit("json")))
     return out.drop("timestamp")
 

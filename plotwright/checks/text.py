@@ -113,14 +113,13 @@ def dict_lookup(spark, sf_dir):
 NAMES = """
     SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 'Prodej: Byty v domě ' WHEN 'SMALL' THEN ' Rodinné Domy ' WHEN 'LARGE' THEN 'CHATY a chalupy '
            WHEN 'PROMO' THEN 'Komerční objekty ' WHEN 'STANDARD' THEN 'pozemky ' ELSE 'jiné ' END || p_name AS title FROM {part}"""
-_CONTAINED = " ".join(
-    f"WHEN contains(lower(title), '{k}') THEN {v}" for k, v, _ in text.CATEGORIES
-)
 
 
 @check(
     "category_map",
-    f"SELECT p_partkey, CASE {_CONTAINED} ELSE 5 END AS category_value FROM ({duck(NAMES)})",
+    f"""SELECT p_partkey, CASE WHEN contains(lower(title), 'byty') THEN 1 WHEN contains(lower(title), 'rodinné domy') THEN 2
+               WHEN contains(lower(title), 'chaty a chalupy') THEN 2 WHEN contains(lower(title), 'komerční objekty') THEN 4
+               WHEN contains(lower(title), 'pozemky') THEN 3 ELSE 5 END AS category_value FROM ({duck(NAMES)})""",
 )
 def category_map(spark, sf_dir):
     kind = text.category(F.col("title"))
@@ -226,6 +225,21 @@ def accent_fold(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
 
 
+# Decomposed accents, ligatures, letters of two, and other scripts.
+SCRIPTS = """
+    SELECT p_partkey, p_name || CASE p_size % 9 WHEN 0 THEN ' plzen\u030C' WHEN 1 THEN ' ĳs' WHEN 2 THEN ' ǆep' WHEN 3 THEN ' ﬁn'
+           WHEN 4 THEN ' Щука' WHEN 5 THEN ' Αθήνα' WHEN 6 THEN ' Straße' WHEN 7 THEN ' Æon' ELSE ' Ω' END AS raw FROM {part}"""
+
+
+@check(
+    "accent_fold_scripts",
+    """SELECT p_partkey, lower(p_name) || CASE p_size % 9 WHEN 0 THEN ' plzen' WHEN 1 THEN ' ijs' WHEN 2 THEN ' dzep' WHEN 3 THEN ' fin'
+              WHEN 4 THEN ' shchuka' WHEN 5 THEN ' athena' WHEN 6 THEN ' strasse' WHEN 7 THEN ' aeon' ELSE ' o' END AS folded FROM part""",
+)
+def accent_fold_scripts(spark, sf_dir):
+    return derive(spark, sf_dir, SCRIPTS).select("p_partkey", text.fold(F.col("raw")).alias("folded"))
+
+
 ADMIN_NAMES = """
     SELECT p_partkey, CASE WHEN p_size < 8 THEN 'Praha ' || CAST(p_size AS STRING) WHEN p_size < 12 THEN 'Praha-východ' WHEN p_size < 15 THEN 'Praha - Západ'
            WHEN p_size < 25 THEN 'okres ' || p_name || '-jih' WHEN p_size < 35 THEN p_name || '-' || p_type || ' (obec)' ELSE 'Ulice  ' || p_brand || ' Kraj' END AS raw_name

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,57 +19,15 @@ DEFAULT_KIND = "phash"
 HASH_SIDE = 16
 
 
-def _bit_text(flags: Column) -> Column:
-    return F.array_join(F.transform(flags, lambda f: F.when(f, F.lit("1")).otherwise(F.lit("0"))), "")
+KINDS = ("ahash", "dhash", "phash", "whash")
 
 
-def _above(values: Column, level: Column) -> Column:
-    """Which values exceed the level. As an array of its own the level is computed once per row."""
-    return F.zip_with(values, F.array_repeat(level, F.size(values)), lambda v, m: v > m)
-
-
-def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / F.size(values)
-
-
-def _median(values: Column, n: int) -> Column:
-    ordered = F.array_sort(values)
-    return (F.get(ordered, F.lit((n - 1) // 2)) + F.get(ordered, F.lit(n // 2))) / 2
-
-
-def block_means(grid: Column, side: int, hash_side: int) -> Column:
-    """The grid averaged down to hash_side x hash_side."""
-    if side == hash_side:
-        return grid
-    if side % hash_side:
-        raise ValueError("hash_side must divide the grid side")
-    step = side // hash_side
-
-    def block(row: int, column: int) -> Column:
-        cells = [
-            F.get(grid, F.lit((row * step + dy) * side + column * step + dx)) for dy in range(step) for dx in range(step)
-        ]
-        return reduce(lambda a, b: a + b, cells) / (step * step)
-
-    return F.array(*[block(r, c) for r in range(hash_side) for c in range(hash_side)])
-
-
-def average_hash(grid: Column, side: int, hash_side: int) -> Column:
-    """Bit set where a block is brighter than the mean."""
-    small = block_means(grid, side, hash_side)
-    return _bit_text(_above(small, _mean(small)))
-
-
-def difference_hash(grid: Column, side: int) -> Column:
-    """Bit set where a cell is brighter than its left neighbor; side x (side - 1) bits."""
-    positions = F.array(*[F.lit(r * side + c) for r in range(side) for c in range(1, side)])
-    return _bit_text(F.transform(positions, lambda p: F.get(grid, p) > F.get(grid, p - 1)))
-
-
-def wavelet_hash(grid: Column, side: int, hash_side: int) -> Column:
-    """Bit set where the low-pass wavelet band (a block mean) is above its median."""
-    small = block_means(grid, side, hash_side)
-    return _bit_text(_above(small, _median(small, hash_side * hash_side)))
+def _means(side: int, parts: int) -> np.ndarray:
+    """parts x side: the mean of each of `parts` equal stretches of a row; shared cells count by their share."""
+    edges = np.arange(parts + 1) * side / parts
+    cells = np.arange(side)
+    overlap = np.minimum(edges[1:, None], cells + 1) - np.maximum(edges[:-1, None], cells)
+    return np.maximum(overlap, 0) * parts / side
 
 
 def _cosines(side: int, kept: int) -> np.ndarray:
@@ -78,13 +35,31 @@ def _cosines(side: int, kept: int) -> np.ndarray:
     return 2 * np.cos(np.pi * u * (2 * x + 1) / (2 * side))
 
 
-def perceptual_hash(grid: Column, side: int, hash_side: int) -> Column:
-    """Bit set where a low-frequency cosine coefficient is above their median.
+def _flags(pixels: np.ndarray, side: int, hash_side: int, kind: str) -> np.ndarray:
+    """hash_side x hash_side bits of every grid."""
+    if kind == "dhash":
+        small = _means(side, hash_side) @ pixels @ _means(side, hash_side + 1).T
+        return (small[:, :, 1:] > small[:, :, :-1]).reshape(len(pixels), -1)
+    basis = _cosines(side, hash_side) if kind == "phash" else _means(side, hash_side)
+    bands = (basis @ pixels @ basis.T).reshape(len(pixels), -1)
+    level = bands.mean(axis=1, keepdims=True) if kind == "ahash" else np.median(bands, axis=1, keepdims=True)
+    return bands > level
+
+
+def grid_signature(grid: Column, side: int, hash_side: int = HASH_SIDE, kind: str = DEFAULT_KIND) -> Column:
+    """Bit text of hash_side x hash_side bits; null for a null grid.
+
+    `ahash`: where a block mean is above their mean; `dhash`: where it is above its left neighbor, in
+    hash_side + 1 columns of blocks; `whash`: where the low-pass wavelet band (a block mean) is above
+    the median; `phash`: where a low-frequency cosine coefficient is above the median.
 
-    Two matrix products per Arrow batch: as nested array functions this would cost
+    Two matrix products per Arrow batch: as nested array functions this would cost up to
     side^2 * hash_side^2 interpreted steps per row.
     """
-    basis = _cosines(side, hash_side)
+    if kind not in KINDS:
+        raise ValueError(f"kind is one of {KINDS}")
+    if kind != "phash" and kind != "dhash" and side % hash_side:
+        raise ValueError("hash_side must divide the grid side")
 
     @F.pandas_udf(T.StringType())
     def signature(grids: pd.Series) -> pd.Series:
@@ -93,21 +68,8 @@ def perceptual_hash(grid: Column, side: int, hash_side: int) -> Column:
         if not present.any():
             return out
         pixels = np.stack(grids[present].to_list()).reshape(-1, side, side)
-        bands = (basis @ pixels @ basis.T).reshape(len(pixels), -1)
-        flags = bands > np.median(bands, axis=1, keepdims=True)
-        text = np.where(flags, "1", "0")
+        text = np.where(_flags(pixels, side, hash_side, kind), "1", "0")
         out[present] = ["".join(row) for row in text]
         return out
 
     return signature(grid.cast("array<double>"))
-
-
-def grid_signature(grid: Column, side: int, hash_side: int = HASH_SIDE, kind: str = DEFAULT_KIND) -> Column:
-    """Bit text of the chosen kind; unknown kinds fall back to the default."""
-    if kind == "ahash":
-        return average_hash(grid, side, hash_side)
-    if kind == "dhash":
-        return difference_hash(grid, side)
-    if kind == "whash":
-        return wavelet_hash(grid, side, hash_side)
-    return perceptual_hash(grid, side, hash_side)

@@ -67,23 +67,38 @@ CAPITAL_REGION = "hl.m. praha"
 CAPITAL_RING_REGION = "stredocesky kraj"
 
 
-def _single_letter_folds() -> tuple[str, str]:
-    """Accented Latin letters and their base letter, from the Unicode decomposition."""
-    accented, plain = [], []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        base = unicodedata.normalize("NFKD", chr(code))[0]
-        if base.isascii() and base.isalpha():
-            accented.append(chr(code))
-            plain.append(base)
-    # Letters and signs without a decomposition.
-    for letter, base in zip("ØøĐđŁłĦħŦŧı –’‘“”²³¹", "OoDdLlHhTti -''\"\"231"):
-        accented.append(letter)
-        plain.append(base)
-    return "".join(accented), "".join(plain)
+# Letters without a Unicode decomposition, and the other scripts' letters in Latin ones.
+UNDECOMPOSED = dict(zip("ØøĐđŁłĦħŦŧı –’‘“”²³¹", "OoDdLlHhTti -''\"\"231", strict=True)) | {
+    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th",
+}
+CYRILLIC = dict(
+    zip(
+        "абвгдежзийклмнопрстуфхцчшщъыьэюяёђєіїјљњћўџґ",
+        "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch ' y ' e iu ia io dj ie i i j lj nj c u dzh g".split(" "),
+        strict=True,
+    )
+)
+GREEK = dict(zip("αβγδεζηθικλμνξοπρςστυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split(" "), strict=True))
+
+
+def _folds() -> dict[str, str]:
+    """What every letter becomes: its Unicode decomposition without marks, in Latin letters; marks become nothing."""
+    script = CYRILLIC | GREEK
+    script |= {k.upper(): v.capitalize() for k, v in script.items()}
+    out = {chr(code): "" for code in range(0x300, 0x370)} | UNDECOMPOSED | script
+    for code in [*range(0xC0, 0x250), *range(0x370, 0x460), *range(0x1E00, 0x2000), *range(0xFB00, 0xFB07)]:
+        letter = chr(code)
+        parts = [c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c)]
+        plain = "".join(c if c.isascii() else out.get(c, "?") for c in parts)
+        if letter not in out and plain and plain.isalpha() and plain.isascii():
+            out[letter] = plain
+    return out
 
 
-_ACCENTED, _PLAIN = _single_letter_folds()
-_TWO_LETTER_FOLDS = [("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("þ", "th"), ("Þ", "Th")]
+_FOLDS = _folds()
+_ONE_LETTER = {k: v for k, v in _FOLDS.items() if len(v) == 1}
+_NO_LETTER = [k for k, v in _FOLDS.items() if not v]
+_MORE_LETTERS = {k: v for k, v in _FOLDS.items() if len(v) > 1}
 
 
 def strip(c: Column) -> Column:
@@ -116,13 +131,15 @@ def area(c: Column) -> Column:
     return number(or_null(F.translate(kept, ",", ".")))
 
 
-def numeric_or_parsed(columns: list[str], name: str, parse) -> Column:
-    """The ready `<name>_numeric` column where the feed has it, else `<name>` parsed, else null."""
-    if f"{name}_numeric" in columns:
-        return F.col(f"`{name}_numeric`").try_cast("double")
-    if name in columns:
-        return parse(F.col(f"`{name}`"))
-    return F.lit(None).cast("double")
+def numeric_or_parsed(columns: list[str], name: str, parse, certain: bool = True) -> Column:
+    """The ready `<name>_numeric` column where the feed has it, else `<name>` parsed, else null.
+
+    Unless it is `certain` that the feed has the columns, a null number is taken from the text.
+    """
+    rungs = [F.col(f"`{name}_numeric`").try_cast("double")] if f"{name}_numeric" in columns else []
+    if name in columns and not (rungs and certain):
+        rungs.append(parse(F.col(f"`{name}`")))
+    return F.coalesce(*rungs) if rungs else F.lit(None).cast("double")
 
 
 def first_token(c: Column) -> Column:
@@ -191,10 +208,20 @@ def land_area(estate_type: Column, caption: Column) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Accents off, trimmed, lower case; null becomes the empty string."""
-    plain = F.translate(c, _ACCENTED, _PLAIN)
-    for letter, pair in _TWO_LETTER_FOLDS:
-        plain = F.replace(plain, F.lit(letter), F.lit(pair))
+    """Accents off, other scripts in Latin letters, trimmed, lower case; null becomes the empty string."""
+    latin = [k for k in _MORE_LETTERS if "LATIN" in unicodedata.name(k)]
+
+    def spelt(letters: list[str]) -> Column:
+        return reduce(lambda out, k: F.replace(out, F.lit(k), F.lit(_MORE_LETTERS[k])), letters, c)
+
+    def holds(letters: list[str]) -> Column:
+        return F.rlike(c, F.lit(f"[{''.join(letters)}]"))
+
+    # Only texts that hold letters of more than one letter go through their replacements.
+    others = [k for k in _MORE_LETTERS if k not in latin]
+    single = F.when(holds(others), spelt([*_MORE_LETTERS])).when(holds(latin), spelt(latin)).otherwise(c)
+    # What has no counterpart, the combining marks, goes.
+    plain = F.translate(single, "".join([*_ONE_LETTER, *_NO_LETTER]), "".join(_ONE_LETTER.values()))
     return F.coalesce(F.lower(strip(plain)), F.lit(""))
 
 

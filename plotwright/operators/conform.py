@@ -35,6 +35,18 @@ def stamp(df: DataFrame, source_id: int, today: Column) -> DataFrame:
     )
 
 
-def with_internal_id(df: DataFrame) -> DataFrame:
-    """A stable id per inserted listing, from what makes the insertion unique."""
-    return df.withColumn("internal_id", F.xxhash64("source_id", "site_id", "added_date"))
+def with_internal_id(df: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """An id per inserted listing, from what makes the insertion unique.
+
+    That is source, site id and day, or the whole row where it has no site id. Ids that meet
+    one another or one of `held` are hashed anew: among 10^10 listings a few 64-bit hashes are equal.
+    """
+    whole = F.struct(*[c for c in df.columns if c != "internal_id"])
+    first = F.when(F.col("site_id").isNull(), F.xxhash64(whole)).otherwise(F.xxhash64("source_id", "site_id", "added_date"))
+    named = df.withColumn("internal_id", first)
+    taken = named.select("internal_id")
+    if held is not None:
+        taken = taken.unionAll(held.select(F.col("internal_id").cast("bigint")))
+    met = taken.groupBy("internal_id").agg(F.count("*").alias("_n")).where("_n > 1").select("internal_id", F.lit(True).alias("_met"))
+    again = F.when(F.col("_met"), F.xxhash64(F.lit("again"), whole)).otherwise(F.col("internal_id"))
+    return named.join(met, "internal_id", "left").withColumn("internal_id", again).select(*named.columns)

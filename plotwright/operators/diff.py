@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +61,17 @@ def price_snapshot(listings: DataFrame, today: Column) -> DataFrame:
     return listings.where(F.col("price").isNotNull()).select("internal_id", "price", today.alias("snapshot_date"))
 
 
-def price_changes(snapshots: DataFrame, days: DataFrame | None = None) -> DataFrame:
+def price_changes(snapshots: DataFrame, days: list[datetime.date] | None = None) -> DataFrame:
     """Prices that differ from the day before; a missing day before yields no change.
 
-    `days` (one column, `snapshot_date`) limits the output days, and with them the
-    partitions read; without it every day is compared with its predecessor.
+    `days` limits the output days; they and the days before are literal filters on both
+    sides, so only their partitions are read. Without it every day is compared.
     """
-    today = snapshots if days is None else snapshots.join(F.broadcast(days), "snapshot_date", "left_semi")
-    before = snapshots.select(
+    today, held = snapshots, snapshots
+    if days is not None:
+        today = snapshots.where(F.col("snapshot_date").isin(days))
+        held = snapshots.where(F.col("snapshot_date").isin([d - datetime.timedelta(days=1) for d in days]))
+    before = held.select(
         "internal_id", F.col("price").alias("old_price"), F.date_add("snapshot_date", 1).alias("snapshot_date")
     )
     return (

@@ -85,14 +85,14 @@ def hash_maps(images: DataFrame, key: str, page: int = PAGE) -> DataFrame:
     )
 
 
-def duplicate_report(entries: DataFrame, duplicates: DataFrame, key: str, details: list[str], limit: int) -> DataFrame:
-    """One row per duplicate of the first `limit` entries that have any, with both sides' details.
+def duplicate_report(entries: DataFrame, duplicates: DataFrame, key: str, details: list[str], limit: int | None = None) -> DataFrame:
+    """One row per duplicate of the entries that have any, or of the first `limit` of them, with both sides' details.
 
     A duplicate that is no longer held stays, as `found` = false.
     """
     counts = duplicates.groupBy("key").agg(F.count("*").alias("n_duplicates"))
-    shown = counts.orderBy("key").limit(limit)
-    rows = duplicates.join(F.broadcast(shown), "key")
+    shown = counts if limit is None else counts.orderBy("key").limit(limit)
+    rows = duplicates.join(shown, "key")
     own = entries.select(F.col(key).alias("key"), *[F.col(d).alias(f"own_{d}") for d in details])
     other = entries.select(
         F.col(key).alias("duplicate"), *[F.col(d).alias(f"duplicate_{d}") for d in details], F.lit(True).alias("_found")

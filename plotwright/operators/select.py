@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import materialized
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key, the first in order; map tasks keep one row per key each."""
@@ -42,15 +44,13 @@ def unprocessed(links: DataFrame, key: str, done: str, taken: DataFrame, limit:
 def numbered(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """`row_no` 0, 1, 2 .. in the order of a unique numeric key.
 
-    Rows are split into key ranges of about equal size; a row's number is its place
-    within the range plus the rows of the ranges before. The table of range sizes has
-    one row per range, whatever the data.
+    Rows are dealt to key ranges of about equal size, by a sample, and written once; a
+    row's number is its place within the range plus the rows of the ranges before. The
+    table of range sizes has one row per range, whatever the data.
     """
     partitions = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / partitions for i in range(1, partitions)]
-    bounds = sorted(set(df.stat.approxQuantile(key, shares, 0.1 / partitions))) if shares else []
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(key))) if bounds else F.lit(0)
-    ranged = df.withColumn("_part", part)
+    dealt = df.repartitionByRange(partitions, key).withColumn("_part", F.spark_partition_id())
+    ranged = materialized(dealt, "ranges")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
@@ -70,7 +70,7 @@ def batches(df: DataFrame, key: str, size: int, partitions: int | None = None) -
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """n random rows; the same seed picks the same rows, also after a lost executor."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def top_values(df: DataFrame, column: str, n: int = 20) -> DataFrame:
@@ -94,7 +94,8 @@ def distinct_pairs(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def progress(df: DataFrame, done: Column) -> DataFrame:
-    """Total, processed and remaining rows."""
+    """Total, processed and remaining rows; a row of which it is not known remains."""
+    known = F.coalesce(done, F.lit(False))
     return df.agg(
-        F.count("*").alias("total"), F.count_if(done).alias("processed"), F.count_if(~done).alias("remaining")
+        F.count("*").alias("total"), F.count_if(known).alias("processed"), F.count_if(~known).alias("remaining")
     )

@@ -12,7 +12,10 @@ from ..functions import address as addr
 from ..functions import text
 from ..operators.conform import conform, stamp, with_internal_id
 from ..operators.diff import archive, gone_listings, new_listings, refresh_prices
+from ..operators.select import first_per_key
+from ..operators.select import first_per_key
 from ..schemas import LISTING
+from ..session import materialized
 from ..sources.payload import flatten_json
 from ..sources.tables import SOURCES
 
@@ -106,7 +109,8 @@ def standardize_titled(
     """Source 4 delivers one JSON column; title and free-form address have to be parsed.
 
     `present` names the payload fields this feed has: numbers come from a `_numeric`
-    field where the feed has it, else from the text.
+    field where the feed has it, else from the text. Without it every field may be there,
+    and a number comes from the text wherever the `_numeric` field has none.
     """
     data = flatten_json(feed.select("data"), "data", _payload(TITLED_FIELDS, present))
     place = addr.parse_address(F.col("address"))
@@ -116,9 +120,9 @@ def standardize_titled(
         F.col("title").alias("name"),
         text.deal_type(F.col("title")).alias("deal_type"),
         text.rooms(F.col("title")).alias("rooms"),
-        text.numeric_or_parsed(data.columns, "Cena", text.price).alias("price"),
-        text.numeric_or_parsed(data.columns, "Užitná plocha", text.area).alias("area_build"),
-        text.numeric_or_parsed(data.columns, "Plocha pozemku", text.area).alias("area_land"),
+        text.numeric_or_parsed(data.columns, "Cena", text.price, present is not None).alias("price"),
+        text.numeric_or_parsed(data.columns, "Užitná plocha", text.area, present is not None).alias("area_build"),
+        text.numeric_or_parsed(data.columns, "Plocha pozemku", text.area, present is not None).alias("area_land"),
         F.col("type").alias("house_type"),
         *[place.getField(c).alias(c) for c in ("district", "city", "city_part", "street", "house_number")],
     )
@@ -139,12 +143,17 @@ def load_source(
 ) -> Load:
     """Compare a standardized feed with the held listings of its source.
 
-    Listings of other sources pass through. `refresh_price` lets the feed's price
-    replace the held one, from which price changes arise.
+    Listings of other sources, and of none, pass through. `refresh_price` lets the feed's
+    price replace the held one, from which price changes arise. A listing that the feed
+    names more than once is inserted once, as the smallest of its rows.
     """
     keys = ["site_id"]
-    mine, others = held.where(F.col("source_id") == source_id), held.where(F.col("source_id") != source_id)
-    added = with_internal_id(new_listings(feed, mine, keys, compare)).select(*held.columns)
+    own = F.col("source_id").eqNullSafe(F.lit(source_id))
+    mine, others = held.where(own), held.where(~own)
+    new = new_listings(feed, mine, keys, compare)
+    named = first_per_key(new.where("site_id IS NOT NULL"), keys, [c for c in new.columns if c not in keys])
+    unique = materialized(named.unionByName(new.where("site_id IS NULL")), "new-listings")
+    added = with_internal_id(unique, held).select(*held.columns)
     archived = gone_listings(feed, mine, keys, compare)
     kept = archive(mine, archived, ["internal_id"], today)
     if refresh_price:

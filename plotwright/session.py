@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,24 +30,26 @@ def _configured_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
-
-    Only a local-mode session may go without the setting: there the driver is the
-    only machine, so a temporary folder is shared by construction.
-    """
+    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`."""
     base = _configured_dir(spark)
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="plotwright-")
-    spark.sparkContext.setCheckpointDir(base)
     return base
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), f"plotwright-{spark.sparkContext.applicationId}")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A path for one written table of this run, unused so far."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_run_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete the work tables of this run, once no result that reads them is needed any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

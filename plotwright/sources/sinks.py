@@ -9,13 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .tables import latest_snapshot
+from ..session import materialized
+from .tables import drop_path, newest_value, partition_values
+
+# A ledger's CSV keeps quotes and line breaks inside a field.
+LEDGER_CSV = {"header": True, "escape": '"', "multiLine": True}
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Append rows; with partition columns, their rows are brought together first, so that a
+    folder gets few files. Large partitions are split by Spark (`rebalance`)."""
+    if not partition_by:
+        df.write.mode("append").parquet(path)
+        return
+    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -24,7 +33,8 @@ def append_table(df: DataFrame, table: str) -> None:
 
 def replace_partition(df: DataFrame, path: str, date_column: str = "snapshot_date") -> None:
     """Replace exactly the days that occur in `df`; other days stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
+    days = df.hint("rebalance", date_column)
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
 
 
 def publish(df: DataFrame, path: str, version: int) -> None:
@@ -33,8 +43,24 @@ def publish(df: DataFrame, path: str, version: int) -> None:
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a mutable table."""
-    return latest_snapshot(spark.read.parquet(path), "version").drop("version")
+    """The newest version of a mutable table; older ones are not opened."""
+    return spark.read.parquet(f"{path}/version={newest_value(spark, path, 'version')}")
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest `keep` versions of a mutable table; the versions deleted."""
+    old = partition_values(spark, path, "version")[:-keep]
+    for version in old:
+        drop_path(spark, f"{path}/version={version}")
+    return old
+
+
+def drop_days(spark: SparkSession, path: str, before: str, date_column: str = "snapshot_date") -> list[str]:
+    """Delete the day partitions before an ISO day; the days deleted."""
+    old = [day for day in partition_values(spark, path, date_column) if day < before]
+    for day in old:
+        drop_path(spark, f"{path}/{date_column}={day}")
+    return old
 
 
 def ensure_table(spark: SparkSession, table: str, like: DataFrame) -> None:
@@ -50,17 +76,27 @@ def copy_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def record_failures(failures: DataFrame, path: str) -> None:
-    """Append failure records to the CSV ledger and to the JSON ledger."""
-    failures.write.mode("append").option("header", True).csv(f"{path}/csv")
-    failures.write.mode("append").json(f"{path}/json")
+    """Append failure records to the CSV ledger and to the JSON ledger; they are computed once."""
+    once = materialized(failures, "failures")
+    once.write.mode("append").options(**LEDGER_CSV).csv(f"{path}/csv")
+    once.write.mode("append").json(f"{path}/json")
+
+
+def read_failures(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The CSV ledger, messages of several lines included."""
+    return spark.read.schema(schema).options(**LEDGER_CSV).csv(f"{path}/csv")
 
 
 def write_batches(batches: DataFrame, path: str, run: str) -> None:
-    """Persist a batch plan; `run` names sort by time, such as YYYYMMDD_HHMMSS."""
-    batches.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run", "batch_no").json(path)
+    """Persist a batch plan; `run` names sort by time, such as YYYYMMDD_HHMMSS.
+
+    A run is one folder. Batches lie together in its files, as many as the plan's size asks for.
+    """
+    clustered = batches.withColumn("run", F.lit(run)).hint("rebalance", "batch_no").sortWithinPartitions("batch_no")
+    clustered.write.mode("append").partitionBy("run").json(path)
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The newest batch plan."""
-    plans = spark.read.schema(f"{schema}, run string, batch_no bigint").json(path)
-    return latest_snapshot(plans, "run")
+    run = newest_value(spark, path, "run")
+    return spark.read.schema(f"{schema}, batch_no bigint").json(f"{path}/run={run}").withColumn("run", F.lit(run))

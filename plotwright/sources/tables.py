@@ -18,8 +18,43 @@ def scan(df: DataFrame, columns: list[str] | None = None, where: Column | str |
     return kept.select(*columns) if columns else kept
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark's own readers see them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's first partition column, in order, from its folders; no file is opened.
+
+    Whole numbers are in the order of numbers, other values in that of their text.
+    """
+    system, place = _folder(spark, path)
+    names = [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+    values = [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
+    return sorted(values, key=lambda v: (0, int(v), v) if v.isdecimal() else (1, 0, v))
+
+
+def newest_value(spark: SparkSession, path: str, column: str) -> str:
+    values = partition_values(spark, path, column)
+    if not values:
+        raise ValueError("no snapshot found")
+    return values[-1]
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    system, place = _folder(spark, path)
+    system.delete(place, True)
+
+
+def read_latest_snapshot(spark: SparkSession, path: str, date_column: str = "snapshot_date") -> DataFrame:
+    """Rows of the latest snapshot of a table partitioned by day: a literal filter, so only its files are read."""
+    return spark.read.parquet(path).where(F.col(date_column) == F.lit(newest_value(spark, path, date_column)))
+
+
 def latest_snapshot(df: DataFrame, date_column: str = "snapshot_date") -> DataFrame:
-    """Rows of the latest snapshot. On a date-partitioned table only that partition is read."""
+    """Rows of the latest snapshot of a table that is not partitioned; this reads the date of every row."""
     if df.select(date_column).isEmpty():
         raise ValueError("no snapshot found")
     return df.where(F.col(date_column) == df.agg(F.max(date_column)).scalar())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -49,12 +50,12 @@ def differences(spark, con, sf_dir: str, query, sql: str) -> str | None:
 
 def main() -> int:
     from plotwright.checks import oracle_sql, queries
-    from plotwright.session import build_session
+    from plotwright.session import build_session, drop_work
 
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     wanted = args[1:]
-    spark = build_session(spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+    spark = build_session(spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="plotwright-parity-"))
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
@@ -69,6 +70,7 @@ def main() -> int:
                 found, note = None, f"rows only: {len(query(spark, sf_dir).collect())}"
         except Exception as error:  # noqa: BLE001
             found = note = f"{type(error).__name__}: {str(error)[:600]}"
+        drop_work(spark)
         bad += found is not None
         print(f"{'FAIL' if found else 'pass'} {name} {time.time() - start:.1f}s {note}"[:1200], flush=True)
     print("failed:", bad)

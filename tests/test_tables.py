@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotwright.operators import diff, maintain, photos, runlog, select
+from plotwright.operators.conform import with_internal_id
 from plotwright.schemas import LISTING, RUN_LOG
 from plotwright.session import materialized, shared_dir, work_path
 from plotwright.sources import sinks, tables
@@ -48,8 +49,51 @@ def test_price_changes_need_the_day_before(spark):
     snapshots = spark.createDataFrame(rows, "internal_id long, price double, snapshot_date date")
     found = [tuple(r) for r in diff.price_changes(snapshots).collect()]
     assert found == [(2, 200.0, 250.0, DAY)]
-    days = spark.createDataFrame([(gap,)], "snapshot_date date")
-    assert diff.price_changes(snapshots, days).count() == 0
+    assert diff.price_changes(snapshots, [gap]).count() == 0
+    assert diff.price_changes(snapshots, [DAY, gap]).count() == 1
+
+
+def test_price_changes_of_a_day_read_two_partitions(spark):
+    path = work_path(spark, "prices")
+    rows = [(i, float(i + d), DAY + dt.timedelta(days=d)) for i in range(3) for d in range(5)]
+    sinks.append(spark.createDataFrame(rows, "internal_id long, price double, snapshot_date date"), path, ["snapshot_date"])
+    found = diff.price_changes(spark.read.parquet(path), [DAY + dt.timedelta(days=4)])
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert len(filters) >= 2 and all("snapshot_date" in f.split("PartitionFilters: [")[1].split("]")[0] for f in filters)
+    newest = tables.read_latest_snapshot(spark, path)
+    assert {r.snapshot_date for r in newest.collect()} == {DAY + dt.timedelta(days=4)}
+    assert sinks.drop_days(spark, path, str(DAY + dt.timedelta(days=3))) == [str(DAY + dt.timedelta(days=d)) for d in range(3)]
+    assert spark.read.parquet(path).select("snapshot_date").distinct().count() == 2
+
+
+def test_old_versions_go(spark):
+    path = work_path(spark, "versions")
+    for version in (1, 2, 10):
+        sinks.publish(spark.range(version), path, version)
+    assert sinks.read_latest(spark, path).count() == 10
+    assert sinks.drop_versions(spark, path, keep=1) == ["1", "2"]
+    assert tables.partition_values(spark, path, "version") == ["10"]
+
+
+def test_ledger_keeps_line_breaks_and_quotes(spark):
+    path = work_path(spark, "ledger")
+    message = 'Traceback "most recent":\n  File "a.py", line 1\n\nValueError: x, y'
+    failures = spark.createDataFrame([("1", message), ("2", None)], "internal_id string, error_message string")
+    sinks.record_failures(failures, path)
+    found = {r.internal_id: r.error_message for r in sinks.read_failures(spark, path, failures.schema).collect()}
+    assert found == {"1": message, "2": None}
+
+
+def test_ids_that_meet_are_hashed_anew(spark):
+    rows = [(1, "a", DAY), (1, "b", DAY), (1, None, DAY), (1, None, DAY + dt.timedelta(days=1))]
+    new = spark.createDataFrame(rows, "source_id int, site_id string, added_date date").withColumn("internal_id", F.lit(None).cast("long"))
+    plain = {r.site_id: r.internal_id for r in with_internal_id(new).collect()}
+    held = spark.createDataFrame([(plain["a"],)], "internal_id long")
+    again = with_internal_id(new, held).collect()
+    assert len({r.internal_id for r in again} | {plain["a"]}) == 5
+    assert {r.internal_id for r in again if r.site_id == "b"} == {plain["b"]}
 
 
 def test_sellers_without_columns_give_none(spark, held):
