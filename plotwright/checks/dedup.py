@@ -230,15 +230,15 @@ _LISTING_DUPS = f"""{_pairs_sql('whash', 16, 0.85)}, c AS (SELECT DISTINCT listi
     dup AS (SELECT DISTINCT a.listing AS key, b.listing AS duplicate FROM c a JOIN c b ON a.listing <> b.listing WHERE bit_count(xor(a.num, b.num)) <= 2),
     g AS (SELECT sig, min(listing) AS f, count(DISTINCT listing) AS n FROM s GROUP BY 1),
     near AS (SELECT l, sum(n) AS near FROM (SELECT l, r FROM p UNION SELECT r, l FROM p) JOIN g ON g.sig = r GROUP BY l),
-    most AS (SELECT f FROM g JOIN near ON l = sig ORDER BY n + near DESC, sig LIMIT 20)"""
+    most AS (SELECT DISTINCT f FROM g JOIN near ON l = sig WHERE n + near BETWEEN 3 AND 40)"""
 
 
 def _listing_duplicates(spark, sf_dir):
-    """Duplicates of the listings behind the 20 signatures with the most of them."""
+    """Duplicates of the first listings behind signatures that 3 to 40 listings carry or are near to."""
     images, pairs = _images(spark, sf_dir), _pairs(spark, sf_dir, "whash", 16, 0.85)
     counts = dups.duplicate_counts(images, "internal_id", "signature", pairs).where("n_near > 0")
-    most = counts.orderBy(F.desc(F.col("n_keys") + F.col("n_near")), "signature").limit(20)
-    wanted = most.select(F.col("first_key").alias("key"))
+    some = counts.where((F.col("n_keys") + F.col("n_near")).between(3, 40))
+    wanted = some.select(F.col("first_key").alias("key"))
     return dups.duplicates_of(wanted, images, "internal_id", "signature", pairs)
 
 
@@ -259,3 +259,68 @@ def dup_report(spark, sf_dir):
     """The report's first 10 entries; only pages with https stand for listings still held."""
     entries = table(spark, sf_dir, "pages").where("url LIKE 'https%'").select(F.col("page_id").alias("internal_id"), "url")
     return dups.duplicate_report(entries, _listing_duplicates(spark, sf_dir), "internal_id", ["url"], 10)
+
+
+# The stage's own setting: 256 bits, similarity 0.85. Four threshold bits of each value; every vector once
+# as it is, and once with a tenth of its values changed, as a near copy.
+LEVELS = (-0.15, -0.05, 0.05, 0.15)
+_WIDE = f"""
+    WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS g FROM embeddings
+               UNION ALL SELECT vec_id + 1000000, list_transform(range(64), lambda i: CASE WHEN (i + vec_id) % 10 = 0 THEN -g[i + 1] ELSE g[i + 1] END) FROM (SELECT vec_id, embedding::DOUBLE[] AS g FROM embeddings)),
+         b AS (SELECT id, list_transform(range(256), lambda i: CASE WHEN g[i // 4 + 1] > [{', '.join(map(str, LEVELS))}][i % 4 + 1] THEN 1 ELSE 0 END) AS b FROM v),
+         s AS (SELECT id, id % 1000000 // 2 AS listing, array_to_string(list_transform(range(64), lambda d: substr('0123456789abcdef', CAST(1 + 8 * b[4 * d + 1] + 4 * b[4 * d + 2] + 2 * b[4 * d + 3] + b[4 * d + 4] AS INT), 1)), '') AS sig,
+                      list_sum(list_transform(range(8), lambda i: b[i + 1] << i::INT))::INT AS bucket,
+                      list_transform(range(4), lambda w: list_sum(list_transform(range(64), lambda i: CASE WHEN b[64 * w + i + 1] = 1 THEN 1::UBIGINT << i::INT ELSE 0::UBIGINT END))::UBIGINT) AS w FROM b),
+         d AS (SELECT sig, any_value(w) AS w, any_value(bucket) AS bucket FROM s GROUP BY sig),
+         p AS (SELECT a.sig AS l, b.sig AS r, a.bucket AS lb, b.bucket AS rb, CAST(bit_count(xor(a.w[1], b.w[1])) + bit_count(xor(a.w[2], b.w[2])) + bit_count(xor(a.w[3], b.w[3])) + bit_count(xor(a.w[4], b.w[4])) AS INTEGER) AS distance
+               FROM d a JOIN d b ON a.sig < b.sig),
+         n AS (SELECT * FROM p WHERE 1 - distance / 256.0 >= 0.85)"""
+
+
+def _wide(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("g"))
+    turned = F.transform("g", lambda v, i: F.when((i + F.col("vec_id")) % 10 == 0, -v).otherwise(v))
+    both = rows.select(F.col("vec_id").alias("id"), "g").unionAll(rows.select(F.col("vec_id") + 1000000, turned))
+    flags = F.flatten(F.transform("g", lambda v: F.array(*[F.when(v > level, F.lit("1")).otherwise(F.lit("0")) for level in LEVELS])))
+    images = both.select(
+        F.expr("id % 1000000 div 2").alias("listing"), bits.bits_to_hex(F.array_join(flags, ""), 256).alias("signature")
+    )
+    return materialized(images, "wide")
+
+
+@check("near_pairs_256", f"{_WIDE} SELECT l AS left_sig, r AS right_sig, distance, round(1 - distance / 256.0, 9) AS similarity FROM n")
+def near_pairs_256(spark, sf_dir):
+    return _named(neighbors.near_pairs(_wide(spark, sf_dir).select("signature").distinct(), 256, 0.85))
+
+
+@check(
+    "lsh_pairs_256",
+    f"""{_WIDE}, x AS (SELECT * FROM n WHERE bit_count(xor(lb, rb)) <= 1)
+        SELECT l AS left_sig, r AS right_sig, distance FROM x UNION ALL SELECT r, l, distance FROM x""",
+)
+def lsh_pairs_256(spark, sf_dir):
+    pairs = neighbors.lsh_pairs(_wide(spark, sf_dir).select("signature").distinct(), 256, 0.85)
+    return _named(pairs).select("left_sig", "right_sig", "distance")
+
+
+@check(
+    "dup_counts_256",
+    f"""{_WIDE}, g AS (SELECT sig, min(listing) AS f, count(DISTINCT listing) AS n FROM s GROUP BY 1),
+        e AS (SELECT l, r FROM n UNION SELECT r, l FROM n), m AS (SELECT l, sum(g.n) AS near FROM e JOIN g ON g.sig = r GROUP BY l)
+        SELECT sig AS signature, f AS first_key, n AS n_keys, n - 1 AS n_copies, CAST(coalesce(near, 0) AS BIGINT) AS n_near FROM g LEFT JOIN m ON m.l = sig""",
+)
+def dup_counts_256(spark, sf_dir):
+    images = _wide(spark, sf_dir)
+    pairs = neighbors.near_pairs(images.select("signature").distinct(), 256, 0.85)
+    return dups.duplicate_counts(images, "listing", "signature", materialized(pairs, "near-pairs"))
+
+
+@check(
+    "knn_pairs_256",
+    f"""{_WIDE}, c AS (SELECT DISTINCT listing, sig FROM s), e AS (SELECT l, r, distance FROM n UNION ALL SELECT r, l, distance FROM n UNION ALL SELECT sig, sig, 0 FROM d),
+        q AS (SELECT a.listing AS key, b.listing AS neighbor, min(distance) AS distance FROM e JOIN c a ON a.sig = l JOIN c b ON b.sig = r WHERE a.listing <> b.listing GROUP BY 1, 2)
+        SELECT key, neighbor, distance, CAST(row_number() OVER (PARTITION BY key ORDER BY distance, neighbor) AS INTEGER) AS rank FROM q
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY distance, neighbor) <= 5""",
+)
+def knn_pairs_256(spark, sf_dir):
+    return neighbors.nearest(_wide(spark, sf_dir), "listing", "signature", 256, 0.85, 5)

@@ -40,6 +40,9 @@ def _choice_keys(text: str, block: str, t: int) -> Column:
 def _query_keys(text: str, block: str, t: int) -> Column:
     """Every placement of every segment that has to be tried, for each length of a matching choice.
 
+    Only lengths in `_lengths`, those that some choice has, are tried, so a long text costs no more
+    than the longest choice allows.
+
     Count the differences before each segment. From segment to segment the count minus
     the segment number starts at 0, ends below 0 and falls by at most 1, so some intact
     segment i has exactly i differences before it and at most D - i after it. Its shift
@@ -53,7 +56,7 @@ def _query_keys(text: str, block: str, t: int) -> Column:
     shifts = f"filter(sequence(-i, i, 2), s -> {tried})"
     return F.expr(
         f"""flatten(transform(
-              sequence(cast(ceil({r} * {t} / {200 - t}) as int), cast(({r} * {200 - t}) div {t} as int)), m ->
+              filter(_lengths, m -> m >= ceil({r} * {t} / {200 - t}) AND m <= ({r} * {200 - t}) div {t}), m ->
               flatten(transform(sequence(0, cast({n} as int) - 1), i ->
               transform({shifts}, s -> xxhash64({block}, cast(m as int), cast(i as int),
                         substr({text}, cast({begin} + s as int) + 1, cast({size} as int))))))))"""
@@ -90,7 +93,9 @@ def ratio_candidates(
     t = int(cut_off)
     q = _distinct_texts(queries, query, query_block, "query")
     c = _distinct_texts(choices, choice, choice_block, "choice")
-    q = spread(q, "query").select("*", F.explode(_query_keys("query", "_query_block", t)).alias("_qk"))
+    lengths = c.agg(F.collect_set(F.length("choice"))).scalar()
+    q = spread(q, "query").withColumn("_lengths", lengths)
+    q = q.select("_query_block", "query", F.explode(_query_keys("query", "_query_block", t)).alias("_qk"))
     c = c.select("*", F.explode(_choice_keys("choice", "_choice_block", t)).alias("_ck"))
     budget = F.expr(f"({100 - t} * (length(query) + length(choice))) div 100")
     pairs = _unbroadcast(q).join(c, (q["_qk"] == c["_ck"]) & (q["_query_block"] == c["_choice_block"]))
@@ -125,31 +130,39 @@ def _partial_damage_sql(m: str, t: int) -> str:
 
 
 def _partial_segments(text: str, t: int) -> Column:
+    """(segment, place) of each segment."""
     m = f"length({text})"
     n = f"cast({_partial_damage_sql(m, t)} + 1 as int)"
     return F.expr(
-        f"""transform(sequence(0, {n} - 1), i ->
+        f"""transform(sequence(0, {n} - 1), i -> struct(
               substr({text}, cast((i * {m}) div {n} + 1 as int),
-                     cast(((i + 1) * {m}) div {n} - (i * {m}) div {n} as int)))"""
+                     cast(((i + 1) * {m}) div {n} - (i * {m}) div {n} as int)) as segment,
+              cast((i * {m}) div {n} + 1 as int) as place))"""
     )
 
 
 def _segment_lengths(t: int) -> list[int]:
-    """Segment lengths that occur; past 400 characters no new ones do."""
+    """Segment lengths that occur.
+
+    A text of m characters has at least 2 * ((100 - t) * m // 100) + 1 segments. With m = q * 100 / (100 - t) + r
+    that is 2 * q + 1, so the mean segment is near 50 / (100 - t) characters and the farther from it the
+    smaller q is: all lengths occur while q is 0 to 3, that is up to 400 / (100 - t) characters.
+    """
     found = set()
-    for m in range(1, 401):
+    for m in range(1, 4 * -(-100 // (100 - t)) + 1):
         n = partial_damage(m, t) + 1
         found |= {m // n, -(-m // n)}
     return sorted(found)
 
 
 def _substrings(text: str, t: int) -> Column:
+    """(segment, place) of every substring that can be a segment of a shorter text."""
     parts = [
-        f"if(length({text}) >= {size}, transform(sequence(1, length({text}) - {size - 1}), p -> substr({text}, p, {size})),"
-        f" cast(array() as array<string>))"
+        f"if(length({text}) >= {size}, transform(sequence(1, length({text}) - {size - 1}), p -> struct(substr({text}, p, {size})"
+        f" as segment, p as place)), cast(array() as array<struct<segment:string,place:int>>))"
         for size in _segment_lengths(t)
     ]
-    return F.expr(f"array_distinct(concat({', '.join(parts)}))")
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choice: str, cut_off: int) -> DataFrame:
@@ -165,27 +178,48 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
     q = spread(_distinct_texts(queries, query, None, "query"), "query")
     c = spread(_distinct_texts(choices, choice, None, "choice"), "choice")
 
-    def keyed(df: DataFrame, keys: Column, name: str) -> DataFrame:
-        return df.select(df.columns[1], F.explode(keys).alias(name))
-
-    def role(left: DataFrame, right: DataFrame, lengths: Column) -> DataFrame:
-        # Letters of the shorter text that the longer one lacks cannot be matched.
-        missing = F.expr(
-            "if(length(choice) <= length(query), length(translate(choice, query, '')), length(translate(query, choice, '')))"
-        )
-        short = F.least(F.length("choice"), F.length("query"))
-        reachable = 200 * (short - missing) >= t * (2 * short - missing)
-        pairs = _unbroadcast(left).join(right, left["_qk"] == right["_ck"]).where(lengths & reachable)
+    def keyed(df: DataFrame, keys: Column) -> DataFrame:
+        return df.select(df.columns[1], F.inline(keys))
+
+    def role(short: str, short_rows: DataFrame, long: str, long_rows: DataFrame, lengths: Column) -> DataFrame:
+        """Pairs whose shorter text keeps a segment intact, and may find its letters around that place."""
+        b, p, m, whole = F.col("_short_place"), F.col("_long_place"), F.length(short), F.length(long)
+        begin = p - b + 1
+
+        def around(shift: Column) -> Column:
+            """The part of the longer text that a window can lie in, if the segment moved by `shift` at most."""
+            first = F.greatest(F.lit(1), begin - shift)
+            return F.substr(F.col(long), first, begin + m + shift - first)
+
+        def missing(part: Column) -> Column:
+            return F.length(F.call_function("translate", F.col(short), part, F.lit("")))
+
+        def broken(part: Column) -> Column:
+            """Neighboring letters that the part does not have: a dropped letter breaks two pairs, an inserted one breaks one."""
+            places = F.sequence(F.lit(1), F.greatest(m - 1, F.lit(1)))
+            return F.size(F.filter(places, lambda i: ~F.contains(part, F.substr(F.col(short), i, F.lit(2)))))
+
+        # A window of the text's length drops as many letters as it inserts. A shorter one, at either end of the
+        # longer text, drops more than it inserts.
+        same = F.floor((100 - t) * m / 100).cast("int")
+        most = F.floor((200 - 2 * t) * m / (200 - t)).cast("int")
+        inner = (missing(around(same)) <= same) & (broken(around(same)) <= 3 * same)
+        at_end = (begin <= 1 + most) | (begin + m - 1 + most >= whole)
+        outer = at_end & (missing(around(most)) <= most) & (broken(around(most)) <= F.greatest(3 * most - 1, F.lit(0)))
+        # Texts of one length are windows of each other, so no place is known.
+        unplaced = missing(F.col(long)) <= most
+        reachable = F.when(m == whole, unplaced).otherwise(inner | outer)
+        left = long_rows.withColumnRenamed("place", "_long_place")
+        right = short_rows.select(short, F.col("segment").alias("_segment"), F.col("place").alias("_short_place"))
+        pairs = _unbroadcast(left).join(right, left["segment"] == right["_segment"]).where(lengths & reachable)
         return pairs.select(F.lit("").alias("block"), "query", "choice")
 
     inside = role(
-        keyed(q, _substrings("query", t), "_qk"),
-        keyed(c, _partial_segments("choice", t), "_ck"),
+        "choice", keyed(c, _partial_segments("choice", t)), "query", keyed(q, _substrings("query", t)),
         F.length("choice") <= F.length("query"),
     )
     around = role(
-        keyed(q, _partial_segments("query", t), "_qk"),
-        keyed(c, _substrings("choice", t), "_ck"),
+        "query", keyed(q, _partial_segments("query", t)), "choice", keyed(c, _substrings("choice", t)),
         F.length("choice") > F.length("query"),
     )
     return inside.union(around).distinct()

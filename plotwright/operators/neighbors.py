@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.bits import BUCKET_BITS, bits, bucket, distance, max_distance, words
+from ..functions.bits import BUCKET_BITS, bits, bucket, distance, max_distance, neighbor_buckets, words
 from ..session import materialized, spread
 
 MAX_BAND = 32
@@ -55,13 +55,16 @@ def _keys(width: int, flips: int) -> int:
     return sum(comb(width, i) for i in range(flips + 1))
 
 
-def band_plan(n_bits: int, k: int, n_signatures: int) -> list[tuple[int, int, int]]:
-    """The cut into bands with the least keys and expected chance meetings."""
+def band_plan(n_bits: int, k: int, n_signatures: float, left_copies: int = 1) -> list[tuple[int, int, int]]:
+    """The cut into bands with the least keys and expected chance meetings among signatures that may meet.
+
+    The left side is listed `left_copies` times, as for buckets around its own.
+    """
 
     def cost(plan: list[tuple[int, int, int]]) -> float:
         sides = [(w, _keys(w, _reach(r, True)), _keys(w, _reach(r, False))) for _, w, r in plan]
-        keys = sum(left + right for _, left, right in sides)
-        meetings = sum(left * right / 2**w for w, left, right in sides)
+        keys = sum(left_copies * left + right for _, left, right in sides)
+        meetings = sum(left_copies * left * right / 2**w for w, left, right in sides)
         # A key is shuffled, a meeting only tested: a shuffled row costs about 20 tests.
         return 20 * keys + n_signatures * meetings
 
@@ -85,25 +88,30 @@ def _entries(known: DataFrame, plan: list[tuple[int, int, int]], left: bool) ->
     """One row per (band, value) under which a signature is filed."""
     probed = known.withColumn("_f", F.explode(_flips(plan, left)))
     value = F.get("_b", F.col("_f.band")).bitwiseXOR(F.col("_f.flip"))
-    return probed.select("signature", "_w", "_b", F.col("_f.band").alias("band"), value.alias("value"))
+    return probed.select("signature", "_w", "_b", "bucket", F.col("_f.band").alias("band"), value.alias("value"))
 
 
 def _crowds(known: DataFrame, plan: list[tuple[int, int, int]], hot_bucket: int) -> DataFrame:
-    """(band, value, _salts): values under which far more signatures are filed than one task should hold."""
-    own = known.select(F.posexplode("_b").alias("band", "value")).groupBy("band", "value").agg(F.count("*").alias("_n"))
+    """(bucket, band, value, _salts): values under which far more signatures are filed than one task should hold."""
+    filed = known.select("bucket", F.posexplode("_b").alias("band", "value"))
+    own = filed.groupBy("bucket", "band", "value").agg(F.count("*").alias("_n"))
     hot = own.where(F.col("_n") > hot_bucket).withColumn("_f", F.explode(_flips(plan, False))).where("_f.band = band")
-    around = hot.select("band", F.col("value").bitwiseXOR(F.col("_f.flip")).alias("value"), "_n")
-    total = around.groupBy("band", "value").agg(F.sum("_n").alias("_n"))
-    return total.select("band", "value", F.ceil(F.col("_n") / hot_bucket).cast("int").alias("_salts"))
+    around = hot.select("bucket", "band", F.col("value").bitwiseXOR(F.col("_f.flip")).alias("value"), "_n")
+    total = around.groupBy("bucket", "band", "value").agg(F.sum("_n").alias("_n"))
+    return total.select("bucket", "band", "value", F.ceil(F.col("_n") / hot_bucket).cast("int").alias("_salts"))
 
 
 def near_pairs(
-    signatures: DataFrame, n_bits: int, similarity: float, expected: int | None = None, hot_bucket: int = HOT_BUCKET
+    signatures: DataFrame, n_bits: int, similarity: float, expected: int | None = None, hot_bucket: int = HOT_BUCKET,
+    bucket_bits: int = 0,
 ) -> DataFrame:
     """(left, right, distance, similarity): all pairs of distinct hex signatures that reach the similarity.
 
-    `signatures` has a column `signature`, unique; left < right. `expected` is their
-    number, if known; it steers speed only.
+    `signatures` has a column `signature`, unique; left < right. `expected` is their number where the
+    cut into bands shall be that for another; it steers speed only. With `bucket_bits`, only
+    signatures whose buckets (of so many leading bits) differ by one bit at most are pairs: the
+    bucket is then part of the key, so it prunes before the join, and the cut into
+    bands is the one for the signatures of a bucket.
 
     A pair can meet in several bands and, through flips, at several values of a band.
     It is taken at one of them alone: in its first close band, at the value reached by
@@ -111,18 +119,20 @@ def near_pairs(
     """
     k = max_distance(n_bits, similarity)
     signatures = materialized(signatures.select("signature"), "signatures")
-    expected = signatures.count() if expected is None else expected
-    plan = band_plan(n_bits, k, expected)
+    held = signatures.count()
+    plan = band_plan(n_bits, k, (expected or held) / 2**bucket_bits, 1 + bucket_bits)
     text = bits(F.col("signature"), n_bits)
     bands = F.array(*[F.conv(F.substring("_bits", s + 1, w), 2, 10).cast("bigint") for s, w, _ in plan])
     known = spread(signatures, "signature").select(
         "signature", words(F.col("signature"), n_bits).alias("_w"), text.alias("_bits")
     )
-    known = known.select("signature", "_w", bands.alias("_b"))
-    left, right = _entries(known, plan, True), _entries(known, plan, False)
-    on = ["band", "value"]
-    # Values no crowd can gather under need no salt, as with few signatures.
-    crowds = materialized(_crowds(known, plan, hot_bucket), "crowds") if expected > hot_bucket else None
+    own = bucket(F.col("_bits"), bucket_bits) if bucket_bits else F.lit(0)
+    known = known.select("signature", "_w", bands.alias("_b"), own.alias("bucket"))
+    left = _entries(known, plan, True).withColumn("bucket", F.explode(neighbor_buckets(F.col("bucket"), bucket_bits)))
+    right = _entries(known, plan, False)
+    on = ["bucket", "band", "value"]
+    # No more signatures than the table has can gather under a value.
+    crowds = materialized(_crowds(known, plan, hot_bucket), "crowds") if held > hot_bucket else None
     if crowds is not None and not crowds.isEmpty():
         salts = F.coalesce("_salts", F.lit(1))
         left = left.join(crowds, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
@@ -154,20 +164,10 @@ def near_pairs(
 
 
 def lsh_pairs(
-    signatures: DataFrame, n_bits: int, similarity: float, expected: int | None = None, bucket_bits: int = BUCKET_BITS
+    signatures: DataFrame, n_bits: int, similarity: float, bucket_bits: int = BUCKET_BITS, hot_bucket: int = HOT_BUCKET
 ) -> DataFrame:
-    """Directed pairs that reach the similarity and whose buckets differ by at most one bit.
-
-    The bucket has few values and crowds at scale, so the pairs come from the banded
-    join and the bucket only narrows them: the same result.
-    """
-    pairs = near_pairs(signatures, n_bits, similarity, expected)
-
-    def own_bucket(name: str) -> Column:
-        return bucket(bits(F.col(name), n_bits), bucket_bits)
-
-    near = pairs.where(F.bit_count(own_bucket("left").bitwiseXOR(own_bucket("right"))) <= 1)
-    return both_ways(near)
+    """Directed pairs that reach the similarity and whose buckets differ by at most one bit."""
+    return both_ways(near_pairs(signatures, n_bits, similarity, None, hot_bucket, bucket_bits))
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:

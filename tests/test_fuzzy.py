@@ -66,6 +66,14 @@ def collected(df):
     return {r.query: (r.choice, round(r.score, 6)) for r in df.collect()}
 
 
+def test_a_long_text_costs_no_more_than_the_longest_choice(spark):
+    from plotwright.operators.fuzzy import ratio_candidates
+
+    choices = spark.createDataFrame([("praha",), ("brno venkov",)], "name string")
+    queries = spark.createDataFrame([("x" * 2000,), ("praha " * 300,), ("prahax",)], "text string")
+    assert [tuple(r) for r in ratio_candidates(queries, "text", choices, "name", 90).collect()] == [("", "prahax", "praha")]
+
+
 def test_scores():
     assert ratios(["hl.m. praha", "stredocesky kraj", "abc", ""], ["hl m praha", "stredocesky", "abd", ""]).round(3).tolist() == [
         85.714,
