@@ -268,7 +268,7 @@ _WIDE = f"""
     WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS g FROM embeddings
                UNION ALL SELECT vec_id + 1000000, list_transform(range(64), lambda i: CASE WHEN (i + vec_id) % 10 = 0 THEN -g[i + 1] ELSE g[i + 1] END) FROM (SELECT vec_id, embedding::DOUBLE[] AS g FROM embeddings)),
          b AS (SELECT id, list_transform(range(256), lambda i: CASE WHEN g[i // 4 + 1] > [{', '.join(map(str, LEVELS))}][i % 4 + 1] THEN 1 ELSE 0 END) AS b FROM v),
-         s AS (SELECT id, id % 1000000 // 2 AS listing, array_to_string(list_transform(range(64), lambda d: substr('0123456789abcdef', CAST(1 + 8 * b[4 * d + 1] + 4 * b[4 * d + 2] + 2 * b[4 * d + 3] + b[4 * d + 4] AS INT), 1)), '') AS sig,
+         s AS (SELECT id, (id % 1000000 + 7 * (id // 1000000)) // 2 AS listing, array_to_string(list_transform(range(64), lambda d: substr('0123456789abcdef', CAST(1 + 8 * b[4 * d + 1] + 4 * b[4 * d + 2] + 2 * b[4 * d + 3] + b[4 * d + 4] AS INT), 1)), '') AS sig,
                       list_sum(list_transform(range(8), lambda i: b[i + 1] << i::INT))::INT AS bucket,
                       list_transform(range(4), lambda w: list_sum(list_transform(range(64), lambda i: CASE WHEN b[64 * w + i + 1] = 1 THEN 1::UBIGINT << i::INT ELSE 0::UBIGINT END))::UBIGINT) AS w FROM b),
          d AS (SELECT sig, any_value(w) AS w, any_value(bucket) AS bucket FROM s GROUP BY sig),
@@ -283,7 +283,7 @@ def _wide(spark, sf_dir):
     both = rows.select(F.col("vec_id").alias("id"), "g").unionAll(rows.select(F.col("vec_id") + 1000000, turned))
     flags = F.flatten(F.transform("g", lambda v: F.array(*[F.when(v > level, F.lit("1")).otherwise(F.lit("0")) for level in LEVELS])))
     images = both.select(
-        F.expr("id % 1000000 div 2").alias("listing"), bits.bits_to_hex(F.array_join(flags, ""), 256).alias("signature")
+        F.expr("(id % 1000000 + 7 * (id div 1000000)) div 2").alias("listing"), bits.bits_to_hex(F.array_join(flags, ""), 256).alias("signature")
     )
     return materialized(images, "wide")
 

@@ -173,6 +173,10 @@ def test_grid_signatures_of_a_ramp(spark):
     found = {k: [r[0] for r in df.select(grids.grid_signature(F.col("g"), 8, s, k)).collect()] for k, s in
              (("ahash", 8), ("dhash", 8), ("whash", 4), ("phash", 4))}
     assert found["ahash"][0] == "0" * 32 + "1" * 32
-    assert found["dhash"][0] == "1" * 56
+    assert found["dhash"][0] == "1" * 64
+    small = df.select(grids.grid_signature(F.col("g"), 8, 4, "dhash")).first()[0]
+    assert small == "1" * 16
+    with pytest.raises(ValueError):
+        grids.grid_signature(F.col("g"), 8, 8, "other")
     assert found["whash"][0] == "0" * 8 + "1" * 8
     assert len(found["phash"][0]) == 16 and found["phash"][1] is None
