@@ -16,7 +16,10 @@ from .common import words_of
 ORDER = 3
 BACKOFF = 0.4
 # Characters of the documents that are counted and scored together; bounds a worker's memory.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
+# Bits of an n-gram's hash. A gram is counted with another by a chance of (distinct grams) / 2^60: 1 in 10^9 for
+# a billion of them. Sorted and as differences, four bits less make a sixth of the bytes sent.
+HASH_BITS = 60
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -31,7 +34,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Grams:
     """The n-grams of a block of documents.
 
-    `found` are the distinct 64-bit hashes of all orders, sorted, and `counts` how often the block
+    `found` are the distinct hashes of all orders, sorted, and `counts` how often the block
     has each. `number[k]` says for each word which of them ends there with k words (`number[0]` is
     the empty gram, whose count is that of the words), `place` counts words within their document.
     """
@@ -63,15 +66,17 @@ def grams_of(texts: list[str | None], order: int) -> Grams:
         # What ended one word before with k - 1 words, and this word.
         before = np.concatenate((np.zeros(1, np.uint64), rolled[:-1])) if total else rolled
         rolled = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(k))
-        whole = np.flatnonzero(place >= k - 1)
-        order_of = np.argsort(rolled[whole])
-        ranked = rolled[whole][order_of]
+        whole = np.flatnonzero(place >= k - 1).astype(np.int32)
+        short = rolled[whole] >> np.uint64(64 - HASH_BITS)
+        order_of = np.argsort(short).astype(np.int32)
+        ranked = short[order_of]
         begins = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
         at = np.full(total, -1, np.int32)
-        at[whole[order_of]] = np.cumsum(begins) - 1
+        at[whole[order_of]] = np.cumsum(begins, dtype=np.int32) - 1
         found.append(ranked[begins])
         counts.append(np.diff(np.append(np.flatnonzero(begins), len(ranked))))
         number.append(at)
+        del whole, short, order_of, ranked, begins
     # One sorted list for all orders; hashes of different orders are as distinct as any two.
     offsets = np.cumsum([0] + [len(f) for f in found])
     every = np.concatenate(found)
@@ -114,7 +119,7 @@ def _asker(order: int, buckets: int):
         grams = grams_of(table["text"].to_pylist(), order)
         block = table["block"][0].as_py()
         # Hashes are dealt by their upper half, so a bucket is a stretch of the sorted list.
-        bucket = ((grams.found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        bucket = ((grams.found >> np.uint64(HASH_BITS - 32)) * np.uint64(buckets)) >> np.uint64(32)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
         rows = []
         for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
@@ -158,15 +163,15 @@ def _own(grams: Grams, k: int) -> np.ndarray:
     """For each word, how often its own document has the k-gram that ends there."""
     at = grams.number[k]
     if k == 0:
-        return grams.sizes[grams.doc]
+        return grams.sizes[grams.doc].astype(np.int32)
     # Words without such a gram have -1, which must not meet the last gram of the document before.
     key = grams.doc.astype(np.int64) * (len(grams.found) + 1) + at + 1
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
     ranked = key[order]
     begins = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
-    edges = np.flatnonzero(begins)
-    out = np.empty(len(key), np.int64)
-    out[order] = np.repeat(np.diff(np.append(edges, len(key))), np.diff(np.append(edges, len(key))))
+    counts = np.diff(np.append(np.flatnonzero(begins), len(key))).astype(np.int32)
+    out = np.empty(len(key), np.int32)
+    out[order] = np.repeat(counts, counts)
     return out
 
 
@@ -177,33 +182,34 @@ def word_scores(grams: Grams, totals: np.ndarray, order: int, backoff: float) ->
     it is shorter than it could be costs a factor `backoff`. A word that no other document has
     is scored `backoff` times a count of one.
     """
-    total = len(grams.doc)
-    others = []
-    for k in range(order + 1):
-        own = _own(grams, k)
-        others.append(np.where(grams.number[k] >= 0, totals[np.maximum(grams.number[k], 0)] - own, 0))
-    all_words = np.maximum(others[0], 1)
-    score = np.log(backoff / all_words)
-    known = others[1] > 0
-    score[known] = np.log(others[1][known] / all_words[known])
+
+    def others(k: int) -> np.ndarray:
+        return np.where(grams.number[k] >= 0, totals[np.maximum(grams.number[k], 0)] - _own(grams, k), 0)
+
+    all_words, now = np.maximum(others(0), 1), others(1)
+    score = np.log(np.where(now > 0, now, backoff) / all_words)
+    del all_words
     for k in range(2, order + 1):
         whole = grams.place >= k - 1
-        context = np.concatenate((np.zeros(1, np.int64), others[k - 1][:-1])) if total else others[k - 1]
-        seen = whole & (others[k] > 0)
-        score = np.where(seen, 0.0, np.where(whole, score + np.log(backoff), score))
-        score[seen] = np.log(others[k][seen] / context[seen])
+        context = np.concatenate((np.zeros(1, np.int64), now[:-1])) if len(now) else now
+        now = others(k)
+        seen = whole & (now > 0)
+        score[whole & ~seen] += np.log(backoff)
+        score[seen] = np.log(now[seen] / context[seen])
     return score
 
 
 def _scorer(order: int, backoff: float):
     def score(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         grams = grams_of(docs["text"].to_pylist(), order)
+        ids = docs["id"]
+        del docs
         answers = answers.take(pc.sort_indices(answers["bucket"]))
         parts = [_wide(t, w) for t, w in zip(answers["totals"].to_pylist(), answers["width"].to_pylist(), strict=True)]
         words = word_scores(grams, np.concatenate(parts), order, backoff)
         sums = np.bincount(grams.doc, weights=words, minlength=len(grams.sizes))
         return pa.table(
-            {"id": docs["id"], "n_words": pa.array(grams.sizes, pa.int64()), "log_score": pa.array(sums, pa.float64())}
+            {"id": ids, "n_words": pa.array(grams.sizes, pa.int64()), "log_score": pa.array(sums, pa.float64())}
         )
 
     return score
