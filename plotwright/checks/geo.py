@@ -357,7 +357,22 @@ def top_streets(spark, sf_dir):
     return top_values(_streets(spark, sf_dir), "norm_ulice")
 
 
-@check("geo_chain")
+# Each step on what the one before left: cities for kept listings with a region, streets of those cities.
+_CHAIN = f"""WITH {_G}, l0 AS ({duck(LISTINGS)}),
+    rk AS (WITH l AS (SELECT * FROM l0), {_REGIONS} SELECT * EXCLUDE (p_name),
+               region IS NULL AND district IS NULL AND city IS NULL AND region_from_name IS NULL AS lost FROM r),
+    ck AS (WITH l AS (SELECT * FROM rk WHERE NOT lost AND region IS NOT NULL), {_CITIES}
+           SELECT kind, district, city, city_part, street, name, region_step, coalesce(m1, m2, m3, m4, m5, m6, m7) AS p_name, {_CITY_STEP} AS city_step FROM c
+           UNION ALL SELECT kind, district, city, city_part, street, name, region_step, NULL, NULL FROM rk WHERE NOT lost AND region IS NULL),
+    sk AS (WITH l AS (SELECT * FROM ck), {_STREETS} SELECT kind, region_step, city_step,
+               CASE WHEN strict IS NOT NULL THEN 'strict' WHEN fuzzy IS NOT NULL THEN 'fuzzy' END AS street_step FROM st)"""
+
+
+@check(
+    "geo_chain",
+    f"""{_CHAIN} SELECT kind, region_step, city_step, street_step, count(*) AS n FROM sk GROUP BY ALL
+        UNION ALL SELECT kind, NULL, NULL, NULL, count(*) FROM rk WHERE lost GROUP BY kind""",
+)
 def geo_chain(spark, sf_dir):
     """All four steps and the quarantine, counted per outcome."""
     nulls = {c: F.lit(None).cast("string") for c in ("norm_city", "norm_city_part", "norm_ulice")}

@@ -3,25 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators.cascade import assign_cities, assign_city_parts, assign_regions, assign_streets, quarantine
+from ..operators.cascade import ADDRESS, assign_cities, assign_city_parts, assign_regions, assign_streets, quarantine
+from ..operators.lookup import ASKED, distinct_keys, lookup_join
 from ..schemas import GEO_COLUMNS
 from ..session import materialized
 
+STEPS = ["region_step", "city_step", "street_step"]
+
+
+def _answers(places: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None) -> DataFrame:
+    """Every distinct place with what the four steps make of it, by its values before them."""
+    kept = places.withColumns({f"_was_{c}": F.col(c) for c in GEO_COLUMNS})
+    regions = materialized(assign_regions(kept, gazetteer, exceptions), "geo-regions")
+    known, lost = quarantine(regions)
+    cities = materialized(assign_cities(known, gazetteer), "geo-cities")
+    parts = materialized(assign_city_parts(cities, gazetteer), "geo-parts")
+    done = assign_streets(parts, gazetteer).withColumn("_lost", F.lit(False))
+    both = done.unionByName(lost.withColumn("_lost", F.lit(True)), allowMissingColumns=True)
+    return both.select(
+        *[F.col(f"_was_{c}").alias(c) for c in GEO_COLUMNS],
+        *ADDRESS,
+        "name",
+        F.col("_rows").alias(ASKED),
+        *[F.col(c).alias(f"_new_{c}") for c in GEO_COLUMNS],
+        *STEPS,
+        "_lost",
+    )
+
 
 def normalize(
     listings: DataFrame, gazetteer: DataFrame, exceptions: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(normalized listings, quarantined listings).
 
-    City needs the region and street needs the city, so the steps form a chain. Each
-    step reads the listings twice, once for their distinct places and once to answer
-    them, so the listings are written between the steps.
+    City needs the region and street needs the city, so the steps form a chain. It runs over the distinct
+    places (address, title and what is already known), a table of a few narrow columns that is written
+    between the steps; the listings are read for their places, and once more to be answered.
     """
     base = [c for c in listings.columns if c not in GEO_COLUMNS]
-    regions = materialized(assign_regions(listings, gazetteer, exceptions), "geo-regions")
-    kept, garbage = quarantine(regions)
-    cities = materialized(assign_cities(kept, gazetteer), "geo-cities")
-    parts = materialized(assign_city_parts(cities, gazetteer), "geo-parts")
-    out = assign_streets(parts, gazetteer)
-    return out.select(*base, *GEO_COLUMNS, "region_step", "city_step", "street_step"), garbage.select(*listings.columns)
+    keys = [*GEO_COLUMNS, *ADDRESS, "name"]
+    places = materialized(distinct_keys(listings, keys).withColumnRenamed(ASKED, "_rows"), "places")
+    out = lookup_join(listings, materialized(_answers(places, gazetteer, exceptions), "place-answers"), keys)
+    done = out.where(~F.col("_lost")).select(*base, *[F.col(f"_new_{c}").alias(c) for c in GEO_COLUMNS], *STEPS)
+    return done, out.where(F.col("_lost")).select(*listings.columns)
