@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,10 @@ from .common import without
 LIMIT = 512
 # Characters that go to the tokenizer at once; bounds a worker's memory.
 CHUNK_CHARS = 2_000_000
+# Counts of pieces that a worker remembers.
+KNOWN_PIECES = 400_000
+# Fixed value: how byte-level tokenizers split a text.
+BYTE_LEVEL = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = "version binary, digest binary, n_tokens long"
 
 
@@ -34,25 +41,65 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], CACHE)
 
 
+def _splits_alike(definition: dict) -> bool:
+    """Whether the tokenizer splits a text by BYTE_LEVEL before it looks at any piece, and does nothing else before."""
+    split = definition.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    return bool(plain) and not definition.get("normalizer") and definition["model"].get("type") == "BPE"
+
+
+class Counter:
+    """Counts tokens by the library; pieces that texts share are encoded once.
+
+    Pieces of a byte-level tokenizer are encoded independently, so its count of a text is the sum of
+    those of the pieces. Texts with a special string, and other tokenizers, go through the library whole.
+    """
+
+    def __init__(self, definition: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        parsed = json.loads(definition)
+        self.split = regex.compile(BYTE_LEVEL) if _splits_alike(parsed) else None
+        self.special = [t["content"] for t in parsed.get("added_tokens", [])]
+        self.known: dict[str, int] = {}
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        whole = [i for i, t in enumerate(texts) if self.split is None or any(s in t for s in self.special)]
+        out = dict(zip(whole, self._encoded([texts[i] for i in whole]), strict=True))
+        pieces = {i: self.split.findall(t) for i, t in enumerate(texts) if i not in out}
+        fresh = list({p for found in pieces.values() for p in found}.difference(self.known))
+        if len(self.known) + len(fresh) > KNOWN_PIECES:
+            fresh = list({p for found in pieces.values() for p in found})
+            self.known = {}
+        for at in range(0, len(fresh), 20_000):
+            part = fresh[at : at + 20_000]
+            self.known.update(zip(part, self._encoded(part), strict=True))
+        count = self.known.__getitem__
+        out |= {i: sum(map(count, found)) for i, found in pieces.items()}
+        return [out[i] for i in range(len(texts))]
+
+
 def _counter(definition: str, chunk_chars: int):
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = Tokenizer.from_str(definition)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        counter = Counter(definition)
         for texts in batches:
-            counts: list[int] = []
             chunk: list[str] = []
             chars = 0
-            for text in texts.to_pylist():
-                if chunk and chars + len(text) > chunk_chars:
-                    counts += [len(e) for e in tokenizer.encode_batch_fast(chunk, add_special_tokens=False)]
-                    chunk, chars = [], 0
-                chunk.append(text)
-                chars += len(text)
+            for at in range(0, len(texts), 500):
+                for text in texts[at : at + 500].to_pylist():
+                    if chunk and chars + len(text) > chunk_chars:
+                        yield pa.array(counter.counts(chunk), pa.int64())
+                        chunk, chars = [], 0
+                    chunk.append(text)
+                    chars += len(text)
             if chunk:
-                counts += [len(e) for e in tokenizer.encode_batch_fast(chunk, add_special_tokens=False)]
-            yield pa.array(counts, pa.int64())
+                yield pa.array(counter.counts(chunk), pa.int64())
 
     return count
 

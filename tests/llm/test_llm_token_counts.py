@@ -1,10 +1,11 @@
 import os
+import random
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from plotwright.llm.token_counts import count_tokens, read_cache
+from plotwright.llm.token_counts import Counter, count_tokens, read_cache
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [None, "", "hello world", "hello world", "Ünïcödé 中文 \U0001f600", "a <|endoftext|> b", "  \n\t x", "word " * 60_000]
@@ -29,6 +30,26 @@ def test_as_the_library(frame, tmp_path, library):
     assert run(frame, tmp_path / "b", TEXTS, chunk_chars=5) == expected
 
 
+def test_pieces_add_up_to_the_library_count(library):
+    with open(PATH, encoding="utf-8") as file:
+        counter = Counter(file.read())
+    assert counter.split is not None
+    rnd = random.Random(4)
+    kinds = [(32, 127), (9, 14), (0x1C, 0x20), (0x80, 0x3000), (0x4E00, 0xD7FF), (0x1F300, 0x1F700)]
+    texts = ["".join(chr(rnd.randrange(*rnd.choice(kinds))) for _ in range(rnd.randrange(60))) for _ in range(1500)]
+    texts += [f"a{chr(c)}1 {chr(c)}b" for c in range(0x3100) if c != 0] + ["it's we'll'x 's", "<|endoftext|>", "x<|endoftext|>  y", ""]
+    assert counter.counts(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_tokenizers_go_whole():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        counter = Counter(file.read())
+    assert counter.split is None
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Some Words, here", "", "ÀÉ x"]
+    assert counter.counts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_only_misses_are_encoded_and_appended(spark, frame, tmp_path, library):
     path = tmp_path / "cache"
     run(frame, path, ["one", "two", "two"])
