@@ -169,7 +169,8 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
     """(block, query, choice): all pairs whose best window reaches the cut-off, and some below it.
 
     The shorter text of a pair is the one cut into segments, so the join runs once for
-    choices no longer than the query and once for longer ones.
+    choices no longer than the query and once for those no shorter; of two texts of one
+    length, either may have its best window in the other.
     """
     _check(cut_off)
     if cut_off == 100:
@@ -206,9 +207,7 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
         inner = (missing(around(same)) <= same) & (broken(around(same)) <= 3 * same)
         at_end = (begin <= 1 + most) | (begin + m - 1 + most >= whole)
         outer = at_end & (missing(around(most)) <= most) & (broken(around(most)) <= F.greatest(3 * most - 1, F.lit(0)))
-        # Texts of one length are windows of each other, so no place is known.
-        unplaced = missing(F.col(long)) <= most
-        reachable = F.when(m == whole, unplaced).otherwise(inner | outer)
+        reachable = inner | outer
         left = long_rows.withColumnRenamed("place", "_long_place")
         right = short_rows.select(short, F.col("segment").alias("_segment"), F.col("place").alias("_short_place"))
         pairs = _unbroadcast(left).join(right, left["segment"] == right["_segment"]).where(lengths & reachable)
@@ -220,7 +219,7 @@ def partial_candidates(queries: DataFrame, query: str, choices: DataFrame, choic
     )
     around = role(
         "query", keyed(q, _partial_segments("query", t)), "choice", keyed(c, _substrings("choice", t)),
-        F.length("choice") > F.length("query"),
+        F.length("choice") >= F.length("query"),
     )
     return inside.union(around).distinct()
 

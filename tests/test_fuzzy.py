@@ -66,6 +66,27 @@ def collected(df):
     return {r.query: (r.choice, round(r.score, 6)) for r in df.collect()}
 
 
+@pytest.mark.parametrize("cut_off", [67, 80, 85, 90, 95])
+def test_no_partial_match_is_lost(spark, cut_off):
+    from itertools import product
+
+    from plotwright.operators.fuzzy import partial_candidates
+
+    rnd = random.Random(3)
+
+    def word(low, high):
+        return "".join(rnd.choice("ab") for _ in range(rnd.randint(low, high)))
+
+    choices = sorted({word(1, 24) for _ in range(100)} | {"abbabaa"})
+    queries = sorted({word(0, 9) + rnd.choice(choices)[1:] + word(0, 9) for _ in range(120)} - {""} | {"bbababa"})
+    pairs = list(product(queries, choices))
+    scores = partial_ratios([a for a, _ in pairs], [b for _, b in pairs])
+    wanted = {p for p, s in zip(pairs, scores) if s >= cut_off}
+    q, c = (spark.createDataFrame([(x,) for x in t], "t string") for t in (queries, choices))
+    found = {(r.query, r.choice) for r in partial_candidates(q, "t", c, "t", cut_off).collect()}
+    assert wanted and wanted <= found
+
+
 def test_a_long_text_costs_no_more_than_the_longest_choice(spark):
     from plotwright.operators.fuzzy import ratio_candidates
 
