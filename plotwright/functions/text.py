@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -207,21 +208,30 @@ def land_area(estate_type: Column, caption: Column) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fold(c: Column) -> Column:
     """Accents off, other scripts in Latin letters, trimmed, lower case; null becomes the empty string."""
-    latin = [k for k in _MORE_LETTERS if "LATIN" in unicodedata.name(k)]
+    # What has no counterpart, the combining marks, goes.
+    single = F.translate(c, "".join([*_ONE_LETTER, *_NO_LETTER]), "".join(_ONE_LETTER.values()))
+    western = [k for k in _MORE_LETTERS if k in UNDECOMPOSED]
+    spelt = F.create_map(*[F.lit(x) for pair in _MORE_LETTERS.items() for x in pair])
 
-    def spelt(letters: list[str]) -> Column:
-        return reduce(lambda out, k: F.replace(out, F.lit(k), F.lit(_MORE_LETTERS[k])), letters, c)
+    def ascii_or(then: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        """Most texts are plain by now; only the others go on."""
+        return lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(then(x))
 
-    def holds(letters: list[str]) -> Column:
-        return F.rlike(c, F.lit(f"[{''.join(letters)}]"))
+    def by_letter(x: Column) -> Column:
+        return F.array_join(F.transform(F.split(x, ""), lambda k: F.coalesce(F.try_element_at(spelt, k), k)), "")
 
-    # Only texts that hold letters of more than one letter go through their replacements.
-    others = [k for k in _MORE_LETTERS if k not in latin]
-    single = F.when(holds(others), spelt([*_MORE_LETTERS])).when(holds(latin), spelt(latin)).otherwise(c)
-    # What has no counterpart, the combining marks, goes.
-    plain = F.translate(single, "".join([*_ONE_LETTER, *_NO_LETTER]), "".join(_ONE_LETTER.values()))
+    def replaced(x: Column) -> Column:
+        out = reduce(lambda t, k: F.replace(t, F.lit(k), F.lit(_MORE_LETTERS[k])), western, x)
+        return _once(out, ascii_or(by_letter))
+
+    plain = _once(single, ascii_or(replaced))
     return F.coalesce(F.lower(strip(plain)), F.lit(""))
 
 
