@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import shuffle_partitions, words_of
 
 ORDER = 3
 BACKOFF = 0.4
@@ -231,14 +231,15 @@ def score_documents(
     cross documents. Null and empty texts have 0 words, a sum of 0 and a null mean. Copies and repeated rows are
     documents like any other, so each raises the score of the rest. Ids may be null or repeat.
 
-    Documents are dealt by hash to blocks of about `block_chars` characters. A block sends each n-gram
+    Documents are dealt by hash to blocks of `block_chars` characters at most or so. A block sends each n-gram
     once, with its count, to the count table of its hash bucket, and gets back the total; a frequent
     word or passage is thus one entry a block. Blocks and buckets both grow in number with the input,
     not in size, but for single texts beyond a block.
     """
     keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     chars = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
+    # At least as many as there are tasks to share the work.
+    blocks = max(shuffle_partitions(docs.sparkSession), -(-chars // block_chars))
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
     dealt = keyed.withColumn("block", block)
     asked = dealt.groupBy("block").applyInArrow(_asker(order, blocks), ASKED)
