@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import ASKED
+from ..operators.lookup import ASKED, lookup_join
 from ..session import materialized
 
 
@@ -27,8 +27,10 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
     mark = _mark(edges)
     while mark[0]:
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
-        least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        # A hub has as many rows as neighbors, so its answer does not come through a plain join.
+        least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"), F.count("*").alias(ASKED))
+        joined = lookup_join(both, least, ["x"])
+        large = joined.where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialized(joined.union(root.select("u", "m")).distinct(), "edges")
