@@ -26,9 +26,19 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+# A character of a word as the n-gram join reads it.
+WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
+
+
 def no_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows go from the texts; `n_chars` follows where a text changed."""
-    out = lines.dedup_lines(docs)
+    """Later occurrences of repeated three-line windows go from the texts; `n_chars` follows where a text changed.
+
+    A document that loses its last line or word by this goes: all it said is in lines that stay elsewhere, and
+    without words it would meet no copy in the next stage. Texts that were empty or wordless before stay.
+    """
+    out = lines.dedup_lines(docs.withColumn("__worded", F.coalesce(F.col("text").rlike(WORD), F.lit(False))))
+    emptied = (F.btrim("text", F.lit(" \t\r\n")) == "") | (F.col("__worded") & ~F.col("text").rlike(WORD))
+    out = out.where(~((F.col("n_removed") > 0) & emptied))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))

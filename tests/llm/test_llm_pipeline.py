@@ -74,3 +74,15 @@ def test_odd_rows_in_every_stage(spark, frame, stage):
         assert out.columns == [c.split()[0] for c in schema.split(", ")]
     assert sorted(str(r["doc_id"]) for r in got) == sorted(["1", "None", "2", "3", "4", "4"])
     assert stage(spark, frame([], schema), SF_DIR).count() == 0
+
+
+def test_one_of_a_group_of_copies_reaches_the_end(spark, frame):
+    copy = "\n".join(f"line {n} speaks of matter {n * 7} and of no other" for n in range(6))
+    rows = [(i, copy, "en", "s", len(copy)) for i in range(10, 40)]
+    # Blank lines and a rule of its own do not make another text.
+    rows += [(50, f"\n{copy}\n \n", "en", "s", 5), (51, f"{copy}\n-- ! --", "en", "s", 5), (None, copy, "en", "s", 5)]
+    stay = [(1, "quite alone\nin its\nthree lines", "en", "s", 5), (2, "", "en", "s", 0), (3, None, "en", "s", 0), (4, "!\n!\n!\n!", "en", "s", 7)]
+    docs = frame(rows + stay, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialized(stage(spark, docs, SF_DIR), "stage")
+    assert sorted(r["doc_id"] for r in docs.collect()) == [1, 2, 3, 4, 10]
