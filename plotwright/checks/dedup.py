@@ -261,6 +261,38 @@ def dup_report(spark, sf_dir):
     return dups.duplicate_report(entries, _listing_duplicates(spark, sf_dir), "internal_id", ["url"], 10)
 
 
+_HELD_DUPS = f"""{_LISTING_DUPS}, h AS (SELECT page_id, url FROM pages WHERE url LIKE 'https%'), x AS (SELECT * FROM dup WHERE key IN (SELECT page_id FROM h))"""
+
+
+def _held(spark, sf_dir):
+    """Pages with https stand for listings still held."""
+    return table(spark, sf_dir, "pages").where("url LIKE 'https%'").select(F.col("page_id").alias("internal_id"), "url")
+
+
+def _held_duplicates(spark, sf_dir):
+    """Duplicates of every held listing, however many carry its signatures or are near to them."""
+    images, pairs = _images(spark, sf_dir), _pairs(spark, sf_dir, "whash", 16, 0.85)
+    wanted = _held(spark, sf_dir).select(F.col("internal_id").alias("key"))
+    return dups.duplicates_of(wanted, images, "internal_id", "signature", materialized(pairs, "near-pairs"))
+
+
+@check("duplicates_of_held", f"{_HELD_DUPS} SELECT key, duplicate FROM x")
+def duplicates_of_held(spark, sf_dir):
+    return _held_duplicates(spark, sf_dir)
+
+
+@check(
+    "dup_report_held",
+    f"""{_HELD_DUPS}, k AS (SELECT key, count(*) AS n_duplicates FROM x GROUP BY key)
+        SELECT key, duplicate, n_duplicates, a.url AS own_url, b.url AS duplicate_url, b.url IS NOT NULL AS found
+        FROM x JOIN k USING (key) JOIN h a ON a.page_id = key LEFT JOIN h b ON b.page_id = duplicate""",
+)
+def dup_report_held(spark, sf_dir):
+    """The report of all held listings, every entry shown."""
+    duplicates = materialized(_held_duplicates(spark, sf_dir), "held-duplicates")
+    return dups.duplicate_report(_held(spark, sf_dir), duplicates, "internal_id", ["url"])
+
+
 # The stage's own setting: 256 bits, similarity 0.85. Four threshold bits of each value; every vector once
 # as it is, and once with a tenth of its values changed, as a near copy.
 LEVELS = (-0.15, -0.05, 0.05, 0.15)
