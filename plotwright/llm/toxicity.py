@@ -196,8 +196,10 @@ def fit(
 ) -> Model:
     """A model from a bounded sample of the labelled documents for which `usable` (on `labels`) holds.
 
-    The sample is the first `sample_rows` labelled ids in hash order, as far as their texts have
-    `sample_chars` characters together. An id labelled more than once takes its highest label;
+    The sample is taken from the texts of the first `sample_rows` labelled ids in hash order, in that
+    order: a text that would bring more than `sample_chars` characters together is passed over, whatever
+    the order of the table. This is settled on ids, labels and lengths; only chosen texts are fetched.
+    An id labelled more than once takes its highest label; a row repeated with its text teaches once;
     rows without an id, label or text teach nothing. Without rows of both classes the model
     gives every text the (smoothed) share of toxic rows.
     """
@@ -205,16 +207,24 @@ def fit(
     chosen = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("label"))
     chosen = chosen.orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    texts = texts.withColumn("__text", F.xxhash64("text"))
     # At most `sample_rows` ids and labels.
-    sample = texts.join(F.broadcast(chosen), "__id").select("text", F.col("label").cast("int")).limit(sample_rows)
-    kept, y, chars = [], [], 0
-    for row in sample.toLocalIterator():
-        chars += len(row["text"])
-        if chars > sample_chars:
-            break
-        kept.append(row["text"])
-        y.append(int(row["label"] > 0))
-    return train(kept, y)
+    sizes = texts.join(F.broadcast(chosen), "__id").select(
+        "__id", "__text", F.col("label").cast("int").alias("label"), F.length("text").alias("chars")
+    )
+    sizes = sizes.dropDuplicates(["__id", "__text"]).orderBy(F.xxhash64("__id"), "__id", "__text").limit(sample_rows)
+    wanted, chars = {}, 0
+    for row in sizes.collect():
+        if chars + row["chars"] <= sample_chars:
+            chars += row["chars"]
+            wanted[row["__id"], row["__text"]] = int(row["label"] > 0)
+    if not wanted:
+        return train([], [])
+    kind = texts.select("__id", "__text").schema
+    keys = docs.sparkSession.createDataFrame(list(wanted), kind)
+    sample = texts.join(F.broadcast(keys), ["__id", "__text"]).groupBy("__id", "__text").agg(F.any_value("text").alias("text"))
+    found = {(r["__id"], r["__text"]): r["text"] for r in sample.toLocalIterator()}
+    return train([found[k] for k in wanted], list(wanted.values()))
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:

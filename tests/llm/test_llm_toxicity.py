@@ -70,3 +70,20 @@ def test_nothing_to_learn(frame):
     clean = fit(docs, frame([(1, 0), (2, 0)], "doc_id long, toxic int"), F.lit(True))
     assert isinstance(none, Model) and none.score(["a"])[0] < 0.5 and clean.score([""])[0] < 0.5
     assert 0.5 < fit(docs, frame([(1, 1), (2, 1)], "doc_id long, toxic int"), F.lit(True)).score(["a"])[0]
+
+
+def test_long_texts_do_not_end_the_sample(frame):
+    rows = make(400, 6)
+    long = [(1000 + i, "tea " * 50_000, 0) for i in range(5)]
+    chars = sum(len(t) for _, t, _ in rows)
+    texts = [t for _, t, _ in make(100, 7)]
+    scores = []
+    for order in (long + rows, rows[::-1] + long):
+        docs = frame([(i, t) for i, t, _ in order], "doc_id long, text string").coalesce(1)
+        labels = frame([(i, y) for i, _, y in order], "doc_id long, toxic int")
+        scores.append(fit(docs, labels, F.lit(True), sample_chars=chars).score(texts))
+        few = fit(docs, labels, F.lit(True), sample_chars=chars // 2).score(texts)
+        scores.append(few)
+    toxic = np.array([y for _, _, y in make(100, 7)])
+    assert ((scores[0] >= 0.5) == toxic).mean() > 0.95
+    assert np.array_equal(scores[0], scores[2]) and np.array_equal(scores[1], scores[3])
