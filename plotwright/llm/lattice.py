@@ -67,9 +67,10 @@ def nearest_point(x: np.ndarray) -> np.ndarray:
 def cells(vectors: np.ndarray, labels: list[int], tables: int, probes: int, width: float, projections: int) -> np.ndarray:
     """For each unit vector tables x (1 + probes) hashes: its own cell in each table, and the nearest cells around it.
 
-    Cells of different labels or tables never meet. Probing moves one of a cell's lattice points at a time.
+    Cells of different labels, lengths or tables never meet. Probing moves one of a cell's lattice points at a time.
     """
     rng = np.random.default_rng([SEED, vectors.shape[1]])
+    length = np.int64(vectors.shape[1]).tobytes()
     out = np.zeros((len(vectors), tables * (1 + probes)), np.int64)
     for t in range(tables):
         points, gains = [], []
@@ -87,7 +88,7 @@ def cells(vectors: np.ndarray, labels: list[int], tables: int, probes: int, widt
                 columns = which[:, None] * 8 + np.arange(8)
                 cell[np.arange(len(cell))[:, None], columns] += (2 * SHORTEST[move]).astype(np.int32)
             for i, label in enumerate(labels):
-                key = xxhash.xxh64_intdigest(cell[i].tobytes(), seed=(label * 1009 + t) % (1 << 63))
+                key = xxhash.xxh64_intdigest(length + cell[i].tobytes(), seed=(label * 1009 + t) % (1 << 63))
                 out[i, t * (1 + probes) + p] = key - (1 << 63)
     return out
 

@@ -66,6 +66,15 @@ def test_copies_scaled_vectors_and_odd_rows(frame):
     assert sorted((str(r["vec_id"]), r["n_links"], r["kept"]) for r in twice.collect()) == [("1", 1, True), ("1", 1, True), ("None", 0, True)]
 
 
+def test_vectors_of_two_lengths_under_one_label(frame):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(c) for c in np.float32(rng.standard_normal(4 + i % 2))], 1) for i in range(600)]
+    expected, got = brute(rows), run(frame, rows)
+    links, found = sum(v[0] for v in expected.values()), sum(v[0] for v in got.values())
+    assert links > 100 and found >= 0.98 * links
+    assert all(got[i][0] <= expected[i][0] for i in expected)
+
+
 def test_empty_table_and_clashing_columns(frame):
     assert run(frame, []) == {}
     df = near_vectors(frame([(1, [1.0, 2.0], 1, True)], "vec_id long, embedding array<double>, label long, kept boolean"))
