@@ -7,7 +7,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import bpe, decontaminate, language, lattice, lines, lm_scores, ngram_join, token_counts, toxicity, url_rules
+from . import (
+    bpe,
+    collocations,
+    decontaminate,
+    language,
+    lattice,
+    lines,
+    lm_scores,
+    negatives,
+    ngram_join,
+    repeats,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from .common import table
 from .registry import oracle_sql, queries, query
 
@@ -165,3 +179,64 @@ LM_SQL = r"""
 def op10_lm_scores(spark, sf_dir):
     out = lm_scores.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"), F.round("mean_score", 7).alias("mean_score"))
+
+
+@query(
+    "op11_hard_negatives",
+    r"""WITH given AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+             scaled AS (SELECT vec_id, label, list_transform(v, lambda x: floor(256 * x)) AS v FROM given
+                        WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             scored AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS other, b.label, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+                        FROM scaled a JOIN scaled b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+             positive AS (SELECT anchor_id, own, other AS positive_id, score AS positive_score FROM scored WHERE label = own
+                          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER part AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+        FROM positive JOIN scored USING (anchor_id) WHERE label <> positive.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW part AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER part <= 10""",
+)
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+PHRASES_SQL = r"""
+    WITH piece AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ 	]+'), lambda x: x <> '') AS w
+                   FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS p FROM documents)),
+         words AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+         spot AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 6)) AS k FROM piece) WHERE len(w) >= k),
+         f AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f FROM spot GROUP BY ALL HAVING count(*) >= 100),
+         candidate AS (SELECT lang, k AS size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2),
+         cut AS (SELECT lang, phrase, a, w, k, array_to_string(list_slice(w, 1, k), ' ') AS first, array_to_string(list_slice(w, k + 1, len(w)), ' ') AS rest
+                 FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate)),
+         scored AS (SELECT cut.lang, cut.phrase, a, x.f AS l, y.f AS r, n, cut.k, CAST((1000 * CAST(a AS HUGEINT) * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+                    FROM cut JOIN words ON words.lang = cut.lang JOIN f x ON x.lang = cut.lang AND x.phrase = first JOIN f y ON y.lang = cut.lang AND y.phrase = rest),
+         lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+         part AS (SELECT lang, phrase AS whole, a, w, k, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM candidate)),
+         inside AS (SELECT lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, max(a) AS longer FROM part GROUP BY 1, 2),
+         kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score FROM kept
+    WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER best <= 2000"""
+
+
+@query("op12_collocations", PHRASES_SQL)
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+@query(
+    "op13_substring_dedup",
+    r"""WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+             spot AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)),
+             first AS (SELECT words, min(doc_id) AS least FROM spot GROUP BY words),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM spot JOIN first USING (words) WHERE least < doc_id),
+             gone_list AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+        SELECT doc.doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
+               sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+        FROM doc LEFT JOIN gone_list USING (doc_id)""",
+)
+def op13_substring_dedup(spark, sf_dir):
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
