@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lookup import ASKED, lookup_join
 from ..session import materialized
 from .common import shuffle_partitions
 
@@ -28,6 +29,8 @@ COUNTERS = 1 << 16
 # Bits of the filter that survivors are kept in, over all partitions. It does not grow with the data: when it fills up
 # more phrases are counted exactly that turn out rare, and no result changes.
 FILTER_BITS = 1 << 27
+# Phrases that a task counts before it sends them on.
+HELD = 400_000
 # Parts of a language whose first phrases are ranked on their own before they are ranked together.
 SALTS = 64
 
@@ -232,31 +235,35 @@ def _merger(threshold: int, stretch: int, counters: int):
 
 
 def _counter(longest: int, known: Survivors, chunk_bytes: int):
+    """Counts of a task's texts, added up over its chunks; sent on in parts where there are more than HELD of them."""
+
+    def rows(counts: dict[tuple[bytes, bytes, int], int]) -> Iterator[pa.RecordBatch]:
+        langs, phrases, sizes = zip(*counts, strict=True) if counts else ((), (), ())
+        out = pa.RecordBatch.from_pydict(
+            {
+                "lang": pa.array(langs, pa.binary()).cast(pa.string()),
+                "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
+                "size": pa.array(sizes, pa.int32()),
+                "f": pa.array(counts.values(), pa.int64()),
+            }
+        )
+        for i in range(0, out.num_rows, 20_000):
+            yield out.slice(i, 20_000)
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: defaultdict[tuple[bytes, bytes, int], int] = defaultdict(int)
         for chunk in _chunks(batches, chunk_bytes):
-            words: defaultdict[bytes, int] = defaultdict(int)
             number, times = np.unique(chunk.ids, return_counts=True)
             for i, n in zip(number.tolist(), times.tolist(), strict=True):
                 if i:
-                    words[chunk.langs[i]] += n
-            langs, phrases, sizes, counts = list(words), [b""] * len(words), [0] * len(words), list(words.values())
+                    counts[chunk.langs[i], b"", 0] += n
             for size, _, times, first in levels(chunk, longest, known, longest):
                 for at, n in zip(first.tolist(), times.tolist(), strict=True):
-                    lang, phrase = chunk.phrase(at, size)
-                    langs.append(lang)
-                    phrases.append(phrase)
-                    sizes.append(size)
-                    counts.append(n)
-            out = pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array(langs, pa.binary()).cast(pa.string()),
-                    "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                    "size": pa.array(sizes, pa.int32()),
-                    "f": pa.array(counts, pa.int64()),
-                }
-            )
-            for i in range(0, out.num_rows, 20_000):
-                yield out.slice(i, 20_000)
+                    counts[*chunk.phrase(at, size), size] += n
+            if len(counts) > HELD:
+                yield from rows(counts)
+                counts.clear()
+        yield from rows(counts)
 
     return exact
 
@@ -336,7 +343,8 @@ def collocations(
     grow in number with the input, not in size, but for single texts beyond a chunk.
     """
     phrases = frequent_phrases(docs, text_col, lang_col, threshold, longest, chunk_bytes, counters)
-    words = phrases.where("size = 0").select("lang", F.col("f").alias("n"))
+    # One language may have most of the phrases, so it is looked up as a hot key.
+    words = phrases.where("size = 0").select("lang", F.col("f").alias("n"), F.col("f").alias(ASKED))
     counts = phrases.where("size > 0")
     split = F.split("phrase", " ")
     found = counts.where("size > 1").select("lang", "phrase", "size", F.col("f").alias("a"), split.alias("words"))
@@ -345,7 +353,7 @@ def collocations(
     cuts = cuts.withColumn("rest", F.array_join(F.slice("words", F.col("k") + 1, F.col("size") - F.col("k")), " "))
     left = counts.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = counts.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
-    cuts = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(words, "lang")
+    cuts = lookup_join(cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]), words, ["lang"])
     above = F.lit(1000).cast("decimal(4,0)") * (_exact("a") * F.col("n").cast("decimal(16,0)"))
     cuts = cuts.withColumns({"above": above, "below": _exact("l") * _exact("r")}).withColumn("score", F.expr("above div below"))
     lowest = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
