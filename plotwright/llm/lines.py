@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.lookup import ASKED, lookup_join
+from ..session import materialized
 from .common import without
 
 WIDTH = 3
@@ -56,47 +57,56 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeat an id and a text are one document: each keeps what that document keeps. A text whose
     lines all go becomes empty, its row stays.
 
-    One occurrence a window goes through the shuffle, not its lines. Very frequent windows are
-    answered by a broadcast of at most 1000 keys (`lookup_join`); what goes is gathered per
-    document, so a group is bounded by its document's lines.
+    Windows are hashed once and written; one occurrence a window goes through the shuffle, not its lines. Very frequent
+    windows are answered by a broadcast of at most 1000 keys (`lookup_join`). Overlapping windows that go are merged to
+    spans before they are gathered per document, so a document gets no more entries than it has lines.
     """
-    keyed = without(docs, ["n_lines", "n_removed", "n_windows"]).withColumn("__key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    text = F.col(text_col)
+    keyed = without(docs, ["n_lines", "n_removed", "n_windows"]).withColumn("__key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     place = [F.col("id").isNull().alias("no_id"), F.col("id"), F.col("key"), F.col("first")]
-    windows = (
-        keyed.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.inline(_windows(F.col(text_col), width)))
-        .select("id", "key", "window", "first", "last")
-    )
+    several = keyed.where(F.contains(text, F.lit("\n"))) if width > 1 else keyed
+    windows = several.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.inline(_windows(text, width)))
+    windows = materialized(windows, "line-windows")
     firsts = (
         windows.groupBy("window")
         .agg(F.count("*").alias(ASKED), F.min(F.struct(*place)).alias("earliest"))
         .where(F.col(ASKED) > 1)
     )
     later = lookup_join(windows, firsts, ["window"]).where(F.struct(*place) > F.col("earliest"))
-    spans = later.groupBy("id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    spans = spans.select(
-        F.col("id").alias("__id"),
-        F.col("key").alias("__text"),
-        F.size("spans").alias("n_windows"),
-        F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))).alias("__gone"),
-    )
-    joined = keyed.join(
-        spans.hint("shuffle_hash"), (keyed["__key"] == spans["__text"]) & keyed[id_col].eqNullSafe(spans["__id"]), "left"
-    )
-    text = F.col(text_col)
-    lines = F.split(text, "\n", -1)
+    spans = _spans(later.select("id", "key", "first", "last"))
+    joined = keyed.join(spans, (keyed["__key"] == spans["__text"]) & keyed[id_col].eqNullSafe(spans["__id"]), "left")
 
-    def without_gone(all_lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("__gone"))
-        return F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
+    def without_gone(lines: Column) -> Column:
+        gone = F.flatten(F.transform("__spans", lambda s: F.sequence(s["first"], s["last"])))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
-    rest = _once(lines, without_gone)
+    rest = _once(F.split(text, "\n", -1), without_gone)
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
     return joined.select(
         *[
-            (F.when(F.col("__gone").isNull(), text).otherwise(rest) if c == text_col else F.col(f"`{c}`")).alias(c)
+            (F.when(F.col("__spans").isNull(), text).otherwise(rest) if c == text_col else F.col(f"`{c}`")).alias(c)
             for c in keyed.columns
             if c != "__key"
         ],
-        F.when(text.isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).alias("n_removed"),
-        F.coalesce("n_windows", F.lit(0)).alias("n_windows"),
+        F.when(text.isNull(), 0).otherwise(breaks + 1).alias("n_lines"),
+        F.coalesce("__removed", F.lit(0)).cast("int").alias("n_removed"),
+        F.coalesce("__windows", F.lit(0)).cast("int").alias("n_windows"),
+    )
+
+
+def _spans(later: DataFrame) -> DataFrame:
+    """Per document the windows that go, merged where they overlap: places, lines removed and number of windows."""
+    order = Window.partitionBy("id", "key").orderBy("first")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.lag("first").over(order)
+    marked = later.withColumns({"begins": F.coalesce(F.col("first") > reach, F.lit(True)), "fresh": ~before.eqNullSafe(F.col("first"))})
+    marked = marked.withColumn("span", F.sum(F.col("begins").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = marked.groupBy("id", "key", "span").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum(F.col("fresh").cast("int")).alias("n")
+    )
+    return spans.groupBy(F.col("id").alias("__id"), F.col("key").alias("__text")).agg(
+        F.collect_list(F.struct("first", "last")).alias("__spans"),
+        F.sum(F.col("last") - F.col("first") + 1).alias("__removed"),
+        F.sum("n").alias("__windows"),
     )
