@@ -16,10 +16,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import with_fields
+from .common import with_fields, without
 
 # Characters whose words are gathered before one replay; bounds a worker's memory.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 3_000_000
 ROWS_AT_ONCE = 500
 
 
@@ -28,7 +28,9 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.token: dict[int, bytes] = {v: k for k, v in ranks.items()}
+        self.token: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.token[rank] = token
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs: list[tuple[int, int]] = []
         # Tokens that can become part of a token of lower rank: after such a merge, the
@@ -190,22 +192,65 @@ def encode(
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merges, compiled = _merges(ranks.value), regex.compile(pattern)
-        for texts in batches:
-            # Answers leave as soon as they are there; their rows need not come in the batches of the texts.
-            chunk, chars = [], 0
-            for at in range(0, len(texts), ROWS_AT_ONCE):
-                for text in texts[at : at + ROWS_AT_ONCE].to_pylist():
-                    if chunk and chars + len(text or "") > chunk_chars:
-                        yield _encode_chunk(merges, compiled, chunk)
-                        chunk, chars = [], 0
-                    chunk.append(text)
-                    chars += len(text or "")
-            if chunk:
-                yield _encode_chunk(merges, compiled, chunk)
+        for chunk in _chunks(batches, chunk_chars):
+            yield _encode_chunk(merges, compiled, chunk)
 
     return with_fields(docs, F.struct(ids(F.col(text_col)).alias(ids_col)), [ids_col])
 
 
+def _chunks(batches: Iterator[pa.Array], chunk_chars: int) -> Iterator[list[str | None]]:
+    """Texts of a batch, about `chunk_chars` characters at a time. Their answers leave at once; they need not come in
+    the batches of the texts."""
+    for texts in batches:
+        chunk, chars = [], 0
+        for at in range(0, len(texts), ROWS_AT_ONCE):
+            for text in texts[at : at + ROWS_AT_ONCE].to_pylist():
+                if chunk and chars + len(text or "") > chunk_chars:
+                    yield chunk
+                    chunk, chars = [], 0
+                chunk.append(text)
+                chars += len(text or "")
+        if chunk:
+            yield chunk
+
+
+def transcode(
+    docs: DataFrame,
+    ranks: Broadcast,
+    pattern: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    bytes_col: str = "decoded",
+    chunk_chars: int = CHUNK_CHARS,
+) -> DataFrame:
+    """`docs` with the ids of `encode` and the bytes that `decode` makes of them, in one pass through one worker a task."""
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merges, compiled = _merges(ranks.value), regex.compile(pattern)
+        for chunk in _chunks(batches, chunk_chars):
+            ids = _encode_chunk(merges, compiled, chunk)
+            yield pa.StructArray.from_arrays([ids, pa.array(_decoded(merges, ids), pa.binary())], ["ids", "decoded"])
+
+    answer = F.col("__both")
+    kept = without(docs, [ids_col, bytes_col])
+    named = [F.col(f"`{c}`") for c in kept.columns]
+    out = docs.withColumn("__both", both(F.col(text_col)))
+    return out.select(*named, answer["ids"].alias(ids_col), answer["decoded"].alias(bytes_col))
+
+
+def _decoded(merges: Merges, lists: pa.ListArray) -> Iterator[bytes]:
+    token = merges.token
+    for at in range(0, len(lists), ROWS_AT_ONCE):
+        part = lists[at : at + ROWS_AT_ONCE]
+        flat = part.flatten().to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+        if len(flat) and flat.min() < 0:
+            raise ValueError("a negative token id")
+        for a, b in pairwise(np.concatenate(([0], np.cumsum(sizes))).tolist()):
+            yield b"".join([token[i] for i in flat[a:b].tolist()])
+
+
 def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """`df` with the bytes that the token ids stand for in `bytes_col` (binary, replaces a column of that name).
 
@@ -214,14 +259,10 @@ def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "ids", bytes_col: str
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = _merges(ranks.value).token
+        merges = _merges(ranks.value)
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
-                lists = batch[at : at + ROWS_AT_ONCE]
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                places = np.concatenate(([0], np.cumsum(sizes))).tolist()
-                yield pa.array([b"".join([token[i] for i in flat[a:b].tolist()]) for a, b in pairwise(places)], pa.binary())
+                yield pa.array(_decoded(merges, batch[at : at + ROWS_AT_ONCE]), pa.binary())
 
     return with_fields(df, F.struct(decoded(F.col(ids_col)).alias(bytes_col)), [bytes_col])
 

@@ -83,7 +83,7 @@ def op4_token_counts(spark, sf_dir):
 def op5_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(spark, public_tokenizers.path(RANKS))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text"), ranks)
+    out = bpe.transcode(docs, ranks, public_tokenizers.PATTERN)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -204,7 +204,8 @@ def op11_hard_negatives(spark, sf_dir):
 PHRASES_SQL = r"""
     WITH piece AS (SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ 	]+'), lambda x: x <> '') AS w
                    FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS p FROM documents)),
+-
+]')) AS p FROM documents)),
          words AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
          spot AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 6)) AS k FROM piece) WHERE len(w) >= k),
          f AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f FROM spot GROUP BY ALL HAVING count(*) >= 100),
@@ -228,7 +229,8 @@ def op12_collocations(spark, sf_dir):
 
 @query(
     "op13_substring_dedup",
-    r"""WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+    r"""WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
              spot AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)),
              first AS (SELECT words, min(doc_id) AS least FROM spot GROUP BY words),
              gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM spot JOIN first USING (words) WHERE least < doc_id),
