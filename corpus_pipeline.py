@@ -59,8 +59,7 @@ def no_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of what is left, and whether they decode to the text."""
     ranks = bpe.load_ranks(spark, public_tokenizers.path(RANKS))
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.transcode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
