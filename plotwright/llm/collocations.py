@@ -9,6 +9,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ THRESHOLD = 100
 LONGEST = 5
 TOP = 2000
 # Bytes of text counted together; bounds a worker's memory.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 # Words of text for each hash partition of the summaries, on average.
 BUCKET_WORDS = 2_000_000
 # Counters of a summary at least; twice its mass divided by the threshold where that is more.
@@ -30,7 +31,7 @@ COUNTERS = 1 << 16
 # more phrases are counted exactly that turn out rare, and no result changes.
 FILTER_BITS = 1 << 27
 # Phrases that a task counts before it sends them on.
-HELD = 400_000
+HELD = 200_000
 # Parts of a language whose first phrases are ranked on their own before they are ranked together.
 SALTS = 64
 
@@ -158,6 +159,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
 
 SUMMARY = "bucket int, keys binary, counts binary"
 STRETCH = "bucket int, bits binary"
+PARTS = "bucket int, langs array<string>, phrases array<string>, sizes array<int>, counts array<long>"
 COUNTED = "lang string, phrase string, size int, f long"
 
 
@@ -234,21 +236,24 @@ def _merger(threshold: int, stretch: int, counters: int):
     return merge
 
 
-def _counter(longest: int, known: Survivors, chunk_bytes: int):
+def _counter(longest: int, known: Survivors, buckets: int, chunk_bytes: int):
     """Counts of a task's texts, added up over its chunks; sent on in parts where there are more than HELD of them."""
 
-    def rows(counts: dict[tuple[bytes, bytes, int], int]) -> Iterator[pa.RecordBatch]:
+    def rows(counts: dict[tuple[bytes, bytes, int], int]) -> pa.RecordBatch:
         langs, phrases, sizes = zip(*counts, strict=True) if counts else ((), (), ())
-        out = pa.RecordBatch.from_pydict(
-            {
-                "lang": pa.array(langs, pa.binary()).cast(pa.string()),
-                "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                "size": pa.array(sizes, pa.int32()),
-                "f": pa.array(counts.values(), pa.int64()),
-            }
-        )
-        for i in range(0, out.num_rows, 20_000):
-            yield out.slice(i, 20_000)
+        names = np.fromiter((xxhash.xxh64_intdigest(lang + b"\0" + p) for lang, p in zip(langs, phrases, strict=True)), np.uint64, len(langs))
+        bucket, _ = _dealt(names, buckets)
+        order = np.argsort(bucket, kind="stable")
+        full = np.unique(bucket)
+        cuts = pa.array(np.append(np.searchsorted(bucket[order], full), len(order)), pa.int32())
+        columns = {
+            "langs": pa.array(langs, pa.binary()).cast(pa.string()),
+            "phrases": pa.array(phrases, pa.binary()).cast(pa.string()),
+            "sizes": pa.array(sizes, pa.int32()),
+            "counts": pa.array(counts.values(), pa.int64()),
+        }
+        lists = {n: pa.ListArray.from_arrays(cuts, c.take(pa.array(order))) for n, c in columns.items()}
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32())} | lists)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: defaultdict[tuple[bytes, bytes, int], int] = defaultdict(int)
@@ -261,13 +266,22 @@ def _counter(longest: int, known: Survivors, chunk_bytes: int):
                 for at, n in zip(first.tolist(), times.tolist(), strict=True):
                     counts[*chunk.phrase(at, size), size] += n
             if len(counts) > HELD:
-                yield from rows(counts)
+                yield rows(counts)
                 counts.clear()
-        yield from rows(counts)
+        yield rows(counts)
 
     return exact
 
 
+def _adder(threshold: int):
+    def add(table: pa.Table) -> pa.Table:
+        lists = {n: table[c].combine_chunks().flatten() for n, c in (("lang", "langs"), ("phrase", "phrases"), ("size", "sizes"), ("f", "counts"))}
+        total = pa.table(lists).group_by(["lang", "phrase", "size"]).aggregate([("f", "sum")]).rename_columns(["lang", "phrase", "size", "f"])
+        return total.filter((pc.field("size") == 0) | (pc.field("f") >= threshold))
+
+    return add
+
+
 def frequent_phrases(
     docs: DataFrame,
     text_col: str = "text",
@@ -297,9 +311,8 @@ def frequent_phrases(
         for row in stretches.collect():
             known.add(row["bucket"], row["bits"])
         earlier = known
-    counted = texts.mapInArrow(_counter(longest, known, chunk_bytes), COUNTED)
-    total = counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    return materialized(total.where((F.col("size") == 0) | (F.col("f") >= threshold)), "phrases")
+    counted = texts.mapInArrow(_counter(longest, known, buckets, chunk_bytes), PARTS)
+    return materialized(counted.groupBy("bucket").applyInArrow(_adder(threshold), COUNTED), "phrases")
 
 
 def _exact(c: str) -> Column:
@@ -339,7 +352,7 @@ def collocations(
     merge them into Misra-Gries summaries with more counters than mass / threshold, so that no phrase of
     `threshold` occurrences is lost; first for one and two words, then for longer phrases whose pairs of words survived. What
     survives is kept in a bitmap of fixed size, all that passes through the driver. A second pass counts exactly what the
-    bitmap lets through, by the phrase itself; a frequent phrase is an entry a task. Chunks and partitions
+    bitmap lets through, by the phrase itself, in the same partitions; a frequent phrase is an entry a task. Chunks and partitions
     grow in number with the input, not in size, but for single texts beyond a chunk.
     """
     phrases = frequent_phrases(docs, text_col, lang_col, threshold, longest, chunk_bytes, counters)

@@ -6,7 +6,7 @@ from parity import connect, differences
 from plotwright.llm.queries import oracle_sql, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLE = {"op3_url_rules": "pages", "op6_lattice": "embeddings"}
+TABLE = {"op3_url_rules": "pages", "op6_lattice": "embeddings", "op11_hard_negatives": "embeddings"}
 
 
 @pytest.fixture(scope="module")
