@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import bits, grids
 from ..operators import duplicates as dups
-from ..operators import neighbors
-from ..session import materialized
+from ..operators import band_index, neighbors
+from ..session import materialized, work_path
 from .registry import check, table
 
 SIDE = 8
@@ -228,17 +228,13 @@ def hash_map(spark, sf_dir):
 
 _LISTING_DUPS = f"""{_pairs_sql('whash', 16, 0.85)}, c AS (SELECT DISTINCT listing, num FROM s),
     dup AS (SELECT DISTINCT a.listing AS key, b.listing AS duplicate FROM c a JOIN c b ON a.listing <> b.listing WHERE bit_count(xor(a.num, b.num)) <= 2),
-    g AS (SELECT sig, min(listing) AS f, count(DISTINCT listing) AS n FROM s GROUP BY 1),
-    near AS (SELECT l, sum(n) AS near FROM (SELECT l, r FROM p UNION SELECT r, l FROM p) JOIN g ON g.sig = r GROUP BY l),
-    most AS (SELECT DISTINCT f FROM g JOIN near ON l = sig WHERE n + near BETWEEN 3 AND 40)"""
+    most AS (SELECT DISTINCT listing AS f FROM s WHERE listing % 100 = 0)"""
 
 
 def _listing_duplicates(spark, sf_dir):
-    """Duplicates of the first listings behind signatures that 3 to 40 listings carry or are near to."""
+    """Duplicates among all listings of those whose id is divisible by 100, however many carry their signatures."""
     images, pairs = _images(spark, sf_dir), _pairs(spark, sf_dir, "whash", 16, 0.85)
-    counts = dups.duplicate_counts(images, "internal_id", "signature", pairs).where("n_near > 0")
-    some = counts.where((F.col("n_keys") + F.col("n_near")).between(3, 40))
-    wanted = some.select(F.col("first_key").alias("key"))
+    wanted = images.where("internal_id % 100 = 0").select(F.col("internal_id").alias("key"))
     return dups.duplicates_of(wanted, images, "internal_id", "signature", pairs)
 
 
@@ -261,7 +257,7 @@ def dup_report(spark, sf_dir):
     return dups.duplicate_report(entries, _listing_duplicates(spark, sf_dir), "internal_id", ["url"], 10)
 
 
-_HELD_DUPS = f"""{_LISTING_DUPS}, h AS (SELECT page_id, url FROM pages WHERE url LIKE 'https%'), x AS (SELECT * FROM dup WHERE key IN (SELECT page_id FROM h))"""
+_HELD_DUPS = f"""{_LISTING_DUPS}, h AS (SELECT page_id, url FROM pages WHERE url LIKE 'https%'), x AS (SELECT * FROM dup WHERE key IN (SELECT page_id FROM h WHERE page_id % 100 = 0))"""
 
 
 def _held(spark, sf_dir):
@@ -270,9 +266,9 @@ def _held(spark, sf_dir):
 
 
 def _held_duplicates(spark, sf_dir):
-    """Duplicates of every held listing, however many carry its signatures or are near to them."""
+    """Duplicates of the held listings whose id is divisible by 100, however many carry their signatures or are near to them."""
     images, pairs = _images(spark, sf_dir), _pairs(spark, sf_dir, "whash", 16, 0.85)
-    wanted = _held(spark, sf_dir).select(F.col("internal_id").alias("key"))
+    wanted = _held(spark, sf_dir).where("internal_id % 100 = 0").select(F.col("internal_id").alias("key"))
     return dups.duplicates_of(wanted, images, "internal_id", "signature", materialized(pairs, "near-pairs"))
 
 
@@ -288,7 +284,7 @@ def duplicates_of_held(spark, sf_dir):
         FROM x JOIN k USING (key) JOIN h a ON a.page_id = key LEFT JOIN h b ON b.page_id = duplicate""",
 )
 def dup_report_held(spark, sf_dir):
-    """The report of all held listings, every entry shown."""
+    """The report of those held listings, every entry shown."""
     duplicates = materialized(_held_duplicates(spark, sf_dir), "held-duplicates")
     return dups.duplicate_report(_held(spark, sf_dir), duplicates, "internal_id", ["url"])
 
@@ -335,6 +331,35 @@ def lsh_pairs_256(spark, sf_dir):
     return _named(pairs).select("left_sig", "right_sig", "distance")
 
 
+def _new_pairs(spark, path, rows, is_new, n_bits, similarity):
+    """The pairs that the last tenth of the rows brings, found among the nine tenths filed before it in two goes."""
+    stored, new = rows.where(~is_new).select("signature"), rows.where(is_new).select("signature")
+    band_index.create_index(spark, path, n_bits, similarity, expected=100_000)
+    first = F.pmod(F.xxhash64("signature"), F.lit(2)) == 0
+    band_index.file_signatures(stored.where(first), path)
+    band_index.file_signatures(stored.where(~first), path)
+    return _named(band_index.probe(new, path))
+
+
+@check(
+    "near_pairs_new",
+    f"""{_pairs_sql('ahash', 64, 0.7)}, n AS (SELECT sig FROM s EXCEPT SELECT sig FROM s WHERE vec_id % 10 < 9)
+        {_PAIR_COLUMNS} WHERE l IN (FROM n) OR r IN (FROM n)""",
+)
+def near_pairs_new(spark, sf_dir):
+    rows = materialized(_signatures(spark, sf_dir).select("vec_id", "signature"), "signatures")
+    return _new_pairs(spark, work_path(spark, "band-index"), rows, F.col("vec_id") % 10 == 9, 64, 0.7)
+
+
+@check(
+    "near_pairs_new_256",
+    f"""{_WIDE}, fresh AS (SELECT sig FROM s EXCEPT SELECT sig FROM s WHERE listing % 10 < 9)
+        SELECT l AS left_sig, r AS right_sig, distance, round(1 - distance / 256.0, 9) AS similarity FROM n WHERE l IN (FROM fresh) OR r IN (FROM fresh)""",
+)
+def near_pairs_new_256(spark, sf_dir):
+    return _new_pairs(spark, work_path(spark, "band-index"), _wide(spark, sf_dir), F.col("listing") % 10 == 9, 256, 0.85)
+
+
 @check(
     "dup_counts_256",
     f"""{_WIDE}, g AS (SELECT sig, min(listing) AS f, count(DISTINCT listing) AS n FROM s GROUP BY 1),

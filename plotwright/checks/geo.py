@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..operators import cascade, fuzzy
 from ..operators import gazetteer as gaz
 from ..plans.geo import normalize
-from ..session import materialized
+from ..session import materialized, work_path
+from ..sources import sinks
+from ..sources.tables import empty_like
 from .registry import check, derive, duck, table
 
 GAZETTEER = """
@@ -245,6 +247,24 @@ def quarantine(spark, sf_dir):
     return _counted(both, "place")
 
 
+@check(
+    "committed_quarantine",
+    f"""WITH {_G}, {_L}, {_REGIONS} SELECT {', '.join(_KEYS)}, count(*) AS n,
+               CASE WHEN region IS NULL AND district IS NULL AND city IS NULL AND region_from_name IS NULL THEN 'garbage' ELSE 'kept' END AS place
+        FROM r GROUP BY ALL""",
+)
+def committed_quarantine(spark, sf_dir):
+    """Listings and quarantine change as one version; a move that died between the two writes is not seen."""
+    path = work_path(spark, "listings")
+    regions = _regions(spark, sf_dir)
+    sinks.publish_set({"kept": regions, "garbage": empty_like(regions)}, path, 1)
+    kept, garbage = cascade.quarantine(sinks.read_set(spark, path, "kept"))
+    sinks.stage({"kept": kept}, path, 2)
+    sinks.publish_set({"kept": kept, "garbage": garbage}, path, 2)
+    both = [sinks.read_set(spark, path, p).withColumn("place", F.lit(p)) for p in ("kept", "garbage")]
+    return _counted(both[0].unionByName(both[1]), "place")
+
+
 @check(
     "region_steps",
     f"""WITH {_G}, {_L}, {_REGIONS} SELECT coalesce(region_step, 'unmatched') AS match_step, count(*) AS n FROM r GROUP BY 1""",

@@ -137,6 +137,23 @@ def versioned_upsert(spark, sf_dir):
     return sinks.read_latest(spark, path)
 
 
+@check(
+    "committed_upsert",
+    """SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN 'open' ELSE c_mktsegment END AS c_mktsegment,
+              (SELECT count(*) FROM customer) AS n_before FROM customer""",
+)
+def committed_upsert(spark, sf_dir):
+    """A version whose job died after half of its rows is passed over by readers, and published again."""
+    path = work_path(spark, "versions")
+    sinks.publish(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), path, 1)
+    updates = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"), F.lit("open").alias("c_mktsegment"))
+    changed = maintain.upsert_columns(sinks.read_latest(spark, path), updates, ["c_custkey"], ["c_mktsegment"])
+    sinks.stage({sinks.TABLE: changed.where("c_custkey % 2 = 0")}, path, 2)
+    before = sinks.read_latest(spark, path).count()
+    sinks.publish(changed, path, 2)
+    return sinks.read_latest(spark, path).withColumn("n_before", F.lit(before).cast("long"))
+
+
 @check(
     "delete_keys",
     """SELECT c_custkey, c_name FROM customer

@@ -121,13 +121,7 @@ def near_pairs(
     signatures = materialized(signatures.select("signature"), "signatures")
     held = signatures.count()
     plan = band_plan(n_bits, k, (expected or held) / 2**bucket_bits, 1 + bucket_bits)
-    text = bits(F.col("signature"), n_bits)
-    bands = F.array(*[F.conv(F.substring("_bits", s + 1, w), 2, 10).cast("bigint") for s, w, _ in plan])
-    known = spread(signatures, "signature").select(
-        "signature", words(F.col("signature"), n_bits).alias("_w"), text.alias("_bits")
-    )
-    own = bucket(F.col("_bits"), bucket_bits) if bucket_bits else F.lit(0)
-    known = known.select("signature", "_w", bands.alias("_b"), own.alias("bucket"))
+    known = _known(signatures, n_bits, plan, bucket_bits)
     left = _entries(known, plan, True).withColumn("bucket", F.explode(neighbor_buckets(F.col("bucket"), bucket_bits)))
     right = _entries(known, plan, False)
     on = ["bucket", "band", "value"]
@@ -140,6 +134,24 @@ def near_pairs(
             "_salt", F.pmod(F.xxhash64("signature"), salts).cast("int")
         )
         on = [*on, "_salt"]
+    return _met(left, right, on, plan, n_bits, k, F.col("left") < F.col("right"))
+
+
+def _known(signatures: DataFrame, n_bits: int, plan: list[tuple[int, int, int]], bucket_bits: int = 0) -> DataFrame:
+    """Signatures with their words, the values of their bands and their bucket."""
+    text = bits(F.col("signature"), n_bits)
+    bands = F.array(*[F.conv(F.substring("_bits", s + 1, w), 2, 10).cast("bigint") for s, w, _ in plan])
+    known = spread(signatures, "signature").select(
+        "signature", words(F.col("signature"), n_bits).alias("_w"), text.alias("_bits")
+    )
+    own = bucket(F.col("_bits"), bucket_bits) if bucket_bits else F.lit(0)
+    return known.select("signature", "_w", bands.alias("_b"), own.alias("bucket"))
+
+
+def _met(
+    left: DataFrame, right: DataFrame, on: list[str], plan: list[tuple[int, int, int]], n_bits: int, k: int, wanted: Column
+) -> DataFrame:
+    """(left, right, distance, similarity) of the wanted pairs of filed entries, each at its one meeting point."""
     a = left.select(F.col("signature").alias("left"), F.col("_w").alias("_lw"), F.col("_b").alias("_lb"), *on)
     b = right.select(F.col("signature").alias("right"), F.col("_w").alias("_rw"), F.col("_b").alias("_rb"), *on)
     total = distance(F.col("_lw"), F.col("_rw"), n_bits)
@@ -155,7 +167,7 @@ def near_pairs(
     fewest = F.bit_count(mine) == F.greatest(F.lit(0), F.bit_count(mine) + F.bit_count(theirs) - right_reach)
     lowest = (mine == 0) | (theirs == 0) | (mine < theirs.bitwiseAND(-theirs))
     one_value = (mine.bitwiseAND(theirs) == 0) & lowest & fewest
-    taken = (total <= k) & (F.col("left") < F.col("right")) & one_value
+    taken = (total <= k) & wanted & one_value
     for band, (_, _, radius) in enumerate(plan[:-1]):
         taken = taken & far_before(band, radius)
     # Sizes are guessed from the table before its rows were multiplied, so no side may be broadcast.

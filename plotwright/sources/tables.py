@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import finished, folder
+
 # Feed name and id of each source, and the form of a dated table name.
 SOURCES = {"sreality": 1, "bzereality": 2, "hyper": 3, "idnes": 4}
 DATED_NAME = r"^%s_[0-9]{8}$"
@@ -18,33 +20,28 @@ def scan(df: DataFrame, columns: list[str] | None = None, where: Column | str |
     return kept.select(*columns) if columns else kept
 
 
-def _folder(spark: SparkSession, path: str):
-    """The file system of a path, and the path, as Spark's own readers see them."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
-
-
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """The values of a table's first partition column, in order, from its folders; no file is opened.
 
     Whole numbers are in the order of numbers, other values in that of their text.
     """
-    system, place = _folder(spark, path)
+    system, place = folder(spark, path)
     names = [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
     values = [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
     return sorted(values, key=lambda v: (0, int(v), v) if v.isdecimal() else (1, 0, v))
 
 
 def newest_value(spark: SparkSession, path: str, column: str) -> str:
-    values = partition_values(spark, path, column)
-    if not values:
-        raise ValueError("no snapshot found")
-    return values[-1]
+    """The newest partition that is whole; one that a dead job left half-written is passed over."""
+    for value in reversed(partition_values(spark, path, column)):
+        if finished(spark, path, [f"{column}={value}"]):
+            return value
+    raise ValueError("no snapshot found")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds."""
-    system, place = _folder(spark, path)
+    system, place = folder(spark, path)
     system.delete(place, True)
 
 
