@@ -7,15 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import with_fields
 
 UNKNOWN = "und"
-# Bounds of the sample a model is fitted on: documents, and words of each.
+# Bounds of the sample a model is fitted on: documents of all languages, their characters, and consecutive words of each.
 SAMPLE_ROWS = 4000
+SAMPLE_CHARS = 20_000_000
 SAMPLE_WORDS = 60
+# Parts of a language whose first documents are taken on their own before they are taken together.
+SALTS = 64
 # Runs of different documents in one training sequence, so that transitions see switches.
 RUNS = 3
 BUCKETS = 1 << 18
@@ -141,10 +144,11 @@ def marginals(
     return forward, pairs, logs
 
 
-def train(texts: list[str], langs: list[str], steps: int = STEPS, seed: int = 5) -> Model:
+def train(texts: list[str], langs: list[str], steps: int = STEPS, seed: int = 5, run_words: int = SAMPLE_WORDS) -> Model:
     """A model by Adam on the log-likelihood of sequences that switch between runs of several texts.
 
-    A run is up to SAMPLE_WORDS consecutive words from any place of a text, all of the text's language.
+    A run is up to `run_words` consecutive words from any place of a text, all of the text's language. The same texts in the
+    same order give the same model.
     """
     labels = sorted(set(langs))
     if not labels:
@@ -154,8 +158,8 @@ def train(texts: list[str], langs: list[str], steps: int = STEPS, seed: int = 5)
     runs = []
     for doc, lang in zip(docs, langs, strict=True):
         if len(doc):
-            at = int(rng.integers(0, max(1, len(doc) - SAMPLE_WORDS + 1)))
-            runs.append((doc[at : at + SAMPLE_WORDS], labels.index(lang)))
+            at = int(rng.integers(0, max(1, len(doc) - run_words + 1)))
+            runs.append((doc[at : at + run_words], labels.index(lang)))
     rng.shuffle(runs)
     sequences, targets = [], []
     for at in range(0, len(runs), RUNS):
@@ -209,22 +213,42 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
+    sample_chars: int = SAMPLE_CHARS,
+    run_words: int = SAMPLE_WORDS,
 ) -> Model:
-    """A model from the first `sample_rows` (by hash of the id) documents for which `usable` holds.
+    """A model from a bounded sample of the documents for which `usable` holds.
 
-    Rows without an id, text or language teach nothing; an id that repeats may bring other rows of
-    its own, `sample_rows` in all. Only languages of the sample can be predicted.
+    Each of the n languages gives its first sample_rows / n documents (one at least) in the order of a hash of the id, then by id
+    and text; in that order texts that would bring more than `sample_chars` characters together are passed over, whatever
+    their place in the table. Of each text `run_words` consecutive words teach. The model depends on the rows alone, not on
+    how they are partitioned. This is settled on ids, languages and lengths; only chosen texts are fetched.
+
+    Rows without an id, text or language teach nothing; a row that repeats teaches once; an id may stand for several texts or
+    languages. Every language with a document that fits the bounds can be predicted, no other. Where two languages have
+    equal sums, the one first in order is predicted.
     """
     known = docs.where(usable & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    # At most `sample_rows` ids.
-    sample = rows.join(F.broadcast(chosen), "id").select("text", "lang").limit(sample_rows)
-    texts, langs = [], []
-    for row in sample.toLocalIterator():
-        texts.append(row["text"])
-        langs.append(row["lang"])
-    return train(texts, langs)
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    narrow = rows.select("id", "digest", "lang", F.length("text").alias("chars")).dropDuplicates(["id", "digest", "lang"])
+    languages = rows.select("lang").distinct().count()
+    share = max(1, sample_rows // max(1, languages))
+    order = [F.xxhash64("id"), "id", "digest"]
+    salted = narrow.withColumn("salt", F.pmod(F.xxhash64("id", "digest"), F.lit(SALTS)))
+    first = salted.withColumn("n", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("n") <= share)
+    first = first.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= share)
+    wanted, chars = [], 0
+    # At most `sample_rows` rows, or one a language. Languages take turns, so the bound of characters meets all alike.
+    for row in first.orderBy("n", "lang").collect():
+        if chars + row["chars"] <= sample_chars:
+            chars += row["chars"]
+            wanted.append((row["id"], row["digest"], row["lang"]))
+    if not wanted:
+        return train([], [])
+    keys = docs.sparkSession.createDataFrame(wanted, rows.select("id", "digest", "lang").schema)
+    sample = rows.join(F.broadcast(keys), ["id", "digest", "lang"]).dropDuplicates(["id", "digest", "lang"])
+    found = {(r["id"], r["digest"], r["lang"]): r["text"] for r in sample.toLocalIterator()}
+    return train([found[k] for k in wanted], [lang for _, _, lang in wanted], run_words=run_words)
 
 
 def _answer(model: Model, texts: list[str | None]) -> pa.StructArray:

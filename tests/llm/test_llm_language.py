@@ -79,3 +79,27 @@ def test_fit_takes_usable_rows_only(frame):
     empty = fit(frame([], schema), F.lit(True))
     assert isinstance(empty, Model)
     assert label_languages(frame([(1, "abc")], "doc_id long, text string"), empty).first()["lang_pred"] == "und"
+
+
+def test_model_does_not_depend_on_partitions(frame):
+    rnd = random.Random(8)
+    rows = [(i // 2, sentence(lang, 20, rnd), lang) for i, lang in enumerate(list(SOUNDS) * 15)]
+    rows += rows[:7]
+    given = frame(rows, "doc_id long, text string, lang string")
+    a, b = (fit(given.repartition(n, F.rand(n)), F.lit(True), sample_rows=40) for n in (1, 7))
+    assert a.labels == b.labels and a.lexicon == b.lexicon
+    assert (a.weights == b.weights).all() and (a.follow == b.follow).all()
+
+
+def test_rare_languages_are_learned_within_the_bounds(frame):
+    rnd = random.Random(9)
+    first, second = list(SOUNDS)[:2]
+    rows = [(i, sentence(first, 10, rnd), first) for i in range(300)] + [(500, sentence(second, 10, rnd), second)]
+    rows += [(600 + i, "w " * 3000, "huge") for i in range(3)]
+    given = frame(rows, "doc_id long, text string, lang string")
+    assert fit(given, F.lit(True), sample_rows=20, sample_chars=2000).labels == sorted([first, second])
+
+
+def test_equal_sums_take_the_first_language(frame):
+    model = Model(["aa", "bb"], {}, np.zeros((1 << 18, 2)), np.zeros((2, 2)))
+    assert label_languages(frame([(1, "word")], "doc_id long, text string"), model).first()["lang_pred"] == "aa"
