@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, product
-from math import fsum
+from math import ceil, fsum, log
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +18,16 @@ from .common import by_group
 from .graph import settled
 
 THRESHOLD = 0.98
-# At cosine 0.98 one table brings a pair together with probability 0.967 (0.98 at 0.985), four miss 1 in 10^6.
-TABLES = 4
+# At cosine 0.98 one lattice point brings a pair together with probability 0.967 (0.98 at 0.985); there are as many tables
+# as let all of them miss it with MISS at most: four for one point, five for two.
+TOGETHER = 0.967
+MISS = 2e-6
 PROBES = 2
 # Cells per unit of projected length: narrower cells hold fewer strangers and miss more neighbors.
 WIDTH = 1.5
-# Lattice points that make a cell; with a hundred million vectors of one label take 2 and more tables.
-PROJECTIONS = 1
+# Likely cells of one lattice point, and vectors of a label that a cell should hold at most, on average.
+LIKELY_CELLS = 10_000
+CELL = 1000
 BLOCK = 256
 PAIRS = 20_000
 SEED = 11
@@ -93,6 +96,20 @@ def cells(vectors: np.ndarray, labels: list[int], tables: int, probes: int, widt
     return out
 
 
+def settings(crowd: int) -> tuple[int, int]:
+    """(projections, tables) for `crowd` vectors of one label: lattice points that make a cell, and tables to keep the recall."""
+    projections = 1
+    while crowd > CELL * LIKELY_CELLS**projections:
+        projections += 1
+    return projections, ceil(log(MISS) / log(1 - TOGETHER**projections))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; first by the largest entry, as squares of very large or small ones leave the doubles."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _coder(tables: int, probes: int, width: float, projections: int):
     @F.arrow_udf("array<bigint>")
     def code(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -103,8 +120,7 @@ def _coder(tables: int, probes: int, width: float, projections: int):
             for i, row in enumerate(rows):
                 by_size.setdefault(len(row), []).append(i)
             for group in by_size.values():
-                x = np.array([rows[i] for i in group], np.float64)
-                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+                x = _unit(np.array([rows[i] for i in group], np.float64))
                 found = cells(x, [names[i] for i in group], tables, probes, width, projections)
                 for i, f in zip(group, found.tolist(), strict=True):
                     out[i] = f
@@ -131,9 +147,8 @@ def _linker(threshold: float):
         for first, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if stop - first < 2:
                 continue
-            x = np.array(vectors.slice(first, stop - first).to_pylist(), np.float64)
+            x = _unit(np.array(vectors.slice(first, stop - first).to_pylist(), np.float64))
             code = np.array(codes.slice(first, stop - first).to_pylist(), np.int64)
-            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
             a, b = np.nonzero(np.triu(x @ x.T >= threshold - 1e-9, 1))
             p, q = a + first, b + first
             here = (key[p] == key[q]) & (low[p] == low[q]) & (high[p] == high[q]) & ((low[p] == high[p]) | (block[p] != block[q]))
@@ -169,10 +184,10 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     threshold: float = THRESHOLD,
-    tables: int = TABLES,
+    tables: int | None = None,
     probes: int = PROBES,
     width: float = WIDTH,
-    projections: int = PROJECTIONS,
+    projections: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """(`id_col`, n_links, component_id, kept) for each row.
@@ -184,6 +199,7 @@ def near_vectors(
     label, are alone; a row without an id takes no part (null, 0 links, kept). A row repeated with its id
     counts as another vector. Other columns are not looked at.
 
+    `projections` and `tables` follow from the largest label's number of distinct vectors (`settings`) unless given.
     Equal vectors are one member with a count. The members of a cell are compared in blocks of about
     `block`; no pair leaves a comparison, only link counts and one edge for each member. Every vector
     is in the index, nothing is capped.
@@ -200,6 +216,10 @@ def near_vectors(
         .groupBy("digest")
         .agg(F.min("id").alias("class"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"), F.any_value("label").alias("label"))
     )
+    crowd = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0 if None in (tables, projections) else 0
+    derived = settings(crowd)
+    projections = projections or derived[0]
+    tables = tables or derived[1]
     code = _coder(tables, probes, width, projections)(F.col("vector"), F.col("label"))
     classes = materialized(classes.withColumn("codes", code), "vectors")
 

@@ -2,7 +2,7 @@ from itertools import product
 
 import numpy as np
 
-from plotwright.llm.lattice import SHORTEST, nearest_point, near_vectors
+from plotwright.llm.lattice import SHORTEST, near_vectors, nearest_point, settings
 
 
 def brute(rows, threshold=0.98):
@@ -91,3 +91,20 @@ def test_nearest_lattice_point():
     best = np.minimum(((x[:, None] - whole) ** 2).sum(2).min(1), ((x[:, None] - half) ** 2).sum(2).min(1))
     assert np.all(((x - points) ** 2).sum(1) <= best + 1e-9)
     assert np.all(points.sum(axis=1) % 2 == 0)
+
+
+def test_extremes_of_double_precision_link(frame):
+    schema = "vec_id long, embedding array<double>, label int"
+    pairs = [([1e200, 2e200], [2e200, 4.1e200]), ([1e-200, 2e-200], [1e-200, 2.01e-200]), ([5e-324, 5e-324], [1.0, 1.0]), ([1e308, -1e308], [3.0, -3.1])]
+    rows = [(2 * k + j, v, k) for k, pair in enumerate(pairs) for j, v in enumerate(pair)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(frame(rows, schema)).collect()}
+    assert got == {i: (1, i - i % 2) for i in range(8)}
+
+
+def test_settings_follow_the_crowd_and_keep_the_recall(frame):
+    assert settings(0) == settings(10_000_000) == (1, 4) and settings(10_000_001) == (2, 5) and settings(10**12)[0] == 3
+    rows = made(4, 60, 8, 0.14)
+    expected = brute(rows)
+    for projections, tables in ((2, 5), (3, 6)):
+        got = run(frame, rows, projections=projections, tables=tables)
+        assert sum(v[0] for v in got.values()) >= 0.97 * sum(v[0] for v in expected.values())
