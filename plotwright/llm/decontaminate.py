@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialized
 from .common import with_fields, words_of
 
 WINDOW = 10
@@ -145,8 +146,8 @@ def find_test_items(
 
     The test items are searched in tables of about `table_words` words: small sets take one pass,
     larger ones are dealt by hash to as many tables as they need, which the texts go through one
-    after the other in the same stage. Each table is bounded, but for a single item beyond it,
-    and the documents are never shuffled.
+    after the other, written to the shared folder in between. Driver and workers hold one table at a time, which
+    is bounded, but for a single item beyond it; the documents are never shuffled.
     """
     known = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).alias("text")).where(
         F.col("text").isNotNull() & (F.col("text") != "")
@@ -162,6 +163,8 @@ def find_test_items(
         answer = _finder(rows, window, block)(F.col(text_col))
         if out is None:
             out = with_fields(docs, answer, fields)
+            # The next table is collected once this one's answers are written, so neither driver nor workers hold two.
+            out = materialized(out, "test-items") if tables > 1 else out
             continue
         out = out.withColumn("__more", answer)
         spans = _merged(F.col("spans"), F.col("__more.spans"))
@@ -171,4 +174,5 @@ def find_test_items(
             .withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["last"] - s["first"] + 1))
             .drop("__more")
         )
+        out = materialized(out, "test-items") if part + 1 < tables else out
     return out
