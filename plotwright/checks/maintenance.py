@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..operators import diff, maintain, runlog
-from ..sources import payload, sinks, tables
+from ..sources import merge, payload, sinks, tables
 from ..session import work_path
 from .registry import check, derive, duck, table
 
@@ -137,6 +137,28 @@ def versioned_upsert(spark, sf_dir):
     return sinks.read_latest(spark, path)
 
 
+@check(
+    "merged_updates",
+    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN 'third' WHEN c_custkey % 7 = 0 THEN 'late' WHEN c_custkey % 2 = 0 THEN 'second' ELSE c_mktsegment END AS c_mktsegment
+       FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 5 <> 0""",
+)
+def merged_updates(spark, sf_dir):
+    """Two updates and a deletion beside the base, one update more, a compaction, and one update on top of it."""
+    path = work_path(spark, "merged")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+
+    def changed(every, name):
+        return customers.where(f"c_custkey % {every} = 0").withColumn("c_mktsegment", F.lit(name))
+
+    merge.create_merged(customers, path, ["c_custkey"], 8)
+    merge.upsert_rows(changed(2, "second"), path)
+    merge.delete_rows(customers.where("c_custkey % 5 = 0").select("c_custkey"), path)
+    merge.upsert_rows(changed(7, "late").where("c_custkey % 5 <> 0"), path)
+    merge.compact(spark, path)
+    merge.upsert_rows(changed(3, "third"), path)
+    return merge.read_merged(spark, path)
+
+
 @check(
     "committed_upsert",
     """SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN 'open' ELSE c_mktsegment END AS c_mktsegment,
