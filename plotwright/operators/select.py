@@ -8,6 +8,9 @@ from pyspark.sql import Window
 
 from ..session import materialized
 
+# Rows that one task puts in order at most; a longer head is numbered over ranges.
+ONE_TASK_ROWS = 10_000
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key, the first in order; map tasks keep one row per key each."""
@@ -27,7 +30,7 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def pending(df: DataFrame, done_column: str, order: list[str], limit: int | None = None) -> DataFrame:
     """Work queue: rows whose result column is still null, in order, at most `limit`."""
     queue = df.where(F.col(done_column).isNull())
-    return queue if limit is None else queue.orderBy(*order).limit(limit)
+    return queue if limit is None else first_rows(queue, order, limit)
 
 
 def unprocessed(links: DataFrame, key: str, done: str, taken: DataFrame, limit: int | None = None) -> DataFrame:
@@ -38,7 +41,31 @@ def unprocessed(links: DataFrame, key: str, done: str, taken: DataFrame, limit:
     others = [c for c in links.columns if c not in (key, done)]
     waiting = links.where(F.col(done).isNull() | (F.size(done) == 0)).drop(done)
     fresh = first_per_key(key_difference(waiting, taken, [key]), [key], others)
-    return fresh if limit is None else fresh.orderBy(key).limit(limit)
+    return fresh if limit is None else first_rows(fresh, [key], limit)
+
+
+def _ranges(df: DataFrame, order: list[str], partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """The rows by range of the order, written once with `_part`, and how many rows lie before each range."""
+    partitions = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id())
+    ranged = materialized(dealt, "ranges")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged, sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+
+
+def first_rows(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The first `limit` rows in the order of some columns, nulls first; of rows that are equal there any come first.
+
+    A short head is one task's work. A long one stays in its ranges: those that begin within it are
+    numbered, each by itself, and keep what lies below the limit.
+    """
+    if limit <= ONE_TASK_ROWS:
+        return df.orderBy(*order).limit(limit)
+    ranged, offsets = _ranges(df, order, None)
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    near = ranged.join(F.broadcast(offsets.where(F.col("_offset") < limit)), "_part")
+    return near.withColumn("_place", place).where(F.col("_offset") + F.col("_place") <= limit).select(*df.columns)
 
 
 def numbered(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
@@ -48,12 +75,7 @@ def numbered(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     row's number is its place within the range plus the rows of the ranges before. The
     table of range sizes has one row per range, whatever the data.
     """
-    partitions = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = df.repartitionByRange(partitions, key).withColumn("_part", F.spark_partition_id())
-    ranged = materialized(dealt, "ranges")
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    ranged, offsets = _ranges(df, [key], partitions)
     place = F.row_number().over(Window.partitionBy("_part").orderBy(key))
     return (
         ranged.withColumn("_place", place)

@@ -232,3 +232,20 @@ def test_shared_folder_comes_from_the_session(spark):
 
 def test_schema_has_26_columns():
     assert len(LISTING.fields) == 26
+
+
+@pytest.mark.parametrize("limit", [0, 1, 40, 99, 100, 250])
+def test_long_heads_stay_in_their_ranges(spark, monkeypatch, limit):
+    monkeypatch.setattr(select, "ONE_TASK_ROWS", 0)
+    rows = [(i % 7, i, None if i % 5 else "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "a int, b int, c string").repartition(5)
+    head = select.first_rows(df, ["a", "b"], limit)
+    assert sorted(map(tuple, head.collect()), key=str) == sorted(sorted(rows, key=lambda r: r[:2])[:limit], key=str)
+    plan = head._jdf.queryExecution().executedPlan().toString()
+    assert limit == 0 or ("TakeOrdered" not in plan and "GlobalLimit" not in plan and "SinglePartition" not in plan.split("Window")[0])
+
+
+def test_queue_longer_than_a_task(spark, monkeypatch):
+    monkeypatch.setattr(select, "ONE_TASK_ROWS", 3)
+    df = spark.createDataFrame([(i, None if i % 2 else "d") for i in range(40)], "k int, done string")
+    assert sorted(r.k for r in select.pending(df, "done", ["k"], 10).collect()) == list(range(1, 20, 2))
