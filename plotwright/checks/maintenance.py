@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import diff, maintain, runlog
-from ..sources import merge, payload, sinks, tables
+from ..sources import buckets, merge, payload, sinks, tables
 from ..session import work_path
 from .registry import check, derive, duck, table
 
@@ -432,6 +433,23 @@ def layer_sync(spark, sf_dir):
     return out.select("internal_id", "avalaible", F.date_format("archived_date", "yyyy-MM-dd").alias("archived"), "price")
 
 
+@check(
+    "bucketed_sync",
+    f"""{_LAYERS} SELECT internal_id, avalaible, strftime(archived_date, '%Y-%m-%d') AS archived, price FROM s""",
+)
+def bucketed_sync(spark, sf_dir):
+    """`layer_sync` between two tables in buckets by id, which are not shuffled again."""
+    run = uuid.uuid4().hex
+    layers = {"source": derive(spark, sf_dir, LAYER_SOURCE), "target": derive(spark, sf_dir, LAYER_TARGET)}
+    held = {
+        name: buckets.write_bucketed(df, f"{name}_{run}", ["internal_id"], 16, work_path(spark, name))
+        for name, df in layers.items()
+    }
+    changes = maintain.layer_changes(held["source"], held["target"], "internal_id", _WATCHED)
+    out = maintain.apply_changes(held["target"], changes, "internal_id", _WATCHED)
+    return out.select("internal_id", "avalaible", F.date_format("archived_date", "yyyy-MM-dd").alias("archived"), "price")
+
+
 @check(
     "sync_summary",
     f"""{_LAYERS} SELECT 'orders' AS table_name, count(*) FILTER (WHERE t.internal_id IS NULL) AS rows_added,

@@ -79,6 +79,27 @@ def delete_rows(keys: DataFrame, path: str) -> int:
     return _update(full, path, True)
 
 
+def change_rows(rows: DataFrame, gone: DataFrame, path: str) -> int:
+    """`upsert_rows` and `delete_rows` as one state; no key may be in both."""
+    spark = rows.sparkSession
+    number, state = _state(spark, path)
+    schema = _schema(state)
+    dropped = gone.select(*[
+        (F.col(f"`{f.name}`") if f.name in state["keys"] else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+    kept = rows.select(*[F.col(f"`{c}`") for c in schema.names]).withColumn(_GONE, F.lit(False))
+    delta = _write(kept.unionByName(dropped.withColumn(_GONE, F.lit(True))), path, state["keys"], state["buckets"])
+    commit(spark, path, f"state={number + 1}", state | {"deltas": [*state["deltas"], delta]})
+    return number + 1
+
+
+def delta_count(spark: SparkSession, path: str) -> int | None:
+    """How many deltas wait for a compaction; None where there is no table yet."""
+    if not any(n.startswith("state=") for n in committed(spark, path)):
+        return None
+    return len(_state(spark, path)[1]["deltas"])
+
+
 def _schema(state: dict) -> StructType:
     return StructType.fromJson(json.loads(state["schema"]))
 
