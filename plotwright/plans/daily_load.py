@@ -13,7 +13,6 @@ from ..functions import text
 from ..operators.conform import conform, stamp, with_internal_id
 from ..operators.diff import archive, gone_listings, new_listings, refresh_prices
 from ..operators.select import first_per_key
-from ..operators.select import first_per_key
 from ..schemas import LISTING
 from ..session import materialized
 from ..sources.payload import flatten_json

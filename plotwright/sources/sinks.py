@@ -124,13 +124,18 @@ def copy_table(df: DataFrame, path: str) -> DataFrame:
 def record_failures(failures: DataFrame, path: str, run: str | None = None) -> None:
     """Append failure records to the CSV ledger and to the JSON ledger; they are computed once.
 
-    With a `run` its records replace those it left before, in both ledgers: a run may be repeated after it died.
+    With a `run` its records replace those it left before, in both ledgers: a run may be repeated after it died, also
+    one that has no failures any more. A ledger is kept with runs or without: Spark reads partitions or loose files.
     """
     once = materialized(failures, "failures")
     if run is None:
         once.write.mode("append").options(**LEDGER_CSV).csv(f"{path}/csv")
         once.write.mode("append").json(f"{path}/json")
         return
+    if once.isEmpty():  # a dynamic overwrite by no rows would leave what is there
+        for ledger in ("csv", "json"):
+            drop_path(once.sparkSession, f"{path}/{ledger}/run={run}")
+        return
     mine = once.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
     mine.options(**LEDGER_CSV).csv(f"{path}/csv")
     mine.json(f"{path}/json")

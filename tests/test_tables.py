@@ -184,6 +184,34 @@ def test_ledger(spark):
     assert runlog.failures_of(json, "2").count() == 2
 
 
+def test_ledger_of_repeated_runs(spark):
+    schema = "timestamp string, internal_id string, url string, source_column string, error_message string"
+    one = spark.createDataFrame([("t", "1", "u1", "idnes", "first\nsecond"), ("t", "2", "u2", None, None)], schema)
+    two = spark.createDataFrame([("t", "1", "u1", "idnes", "e")], schema)
+    path = work_path(spark, "ledger")
+
+    def kept():
+        csv = sinks.read_failures(spark, path, one.schema)
+        json = spark.read.schema(one.schema).json(f"{path}/json").select(*one.columns)
+        found = [sorted((tuple(r) for r in df.collect()), key=repr) for df in (csv, json)]
+        assert found[0] == found[1]
+        return found[0]
+
+    def rows(*frames):
+        return sorted((tuple(r) for df in frames for r in df.collect()), key=repr)
+
+    sinks.record_failures(one, path, "20240501_060000")
+    sinks.record_failures(two, path, "20240502_060000")
+    sinks.record_failures(one, path, "20240501_060000")
+    assert kept() == rows(one, two)
+    sinks.record_failures(two, path, "20240501_060000")
+    assert kept() == rows(two, two)
+    sinks.record_failures(two.limit(0), path, "20240501_060000")
+    assert kept() == rows(two)
+    sinks.record_failures(two.limit(0), path, "20240503_060000")
+    assert kept() == rows(two)
+
+
 def test_run_log(spark):
     log = runlog.run_log("p", "t", F.current_timestamp(), spark.range(3), spark.range(2), spark.range(0))
     assert log.columns == RUN_LOG.names
