@@ -3,6 +3,8 @@
 `near_pairs` joins a table with itself. Here the keys of the stored side stay on disk, in parts by the hash of
 (band, value): a day's new signatures read the parts that their own keys fall in, find their pairs among the stored and
 among themselves, and are then filed as one more generation. The cut into bands is settled when the index is made.
+Where testing a signature against all that are expected costs less than its keys, no keys are filed: the index holds
+the signatures alone, and new ones are tested against these block by block.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.bits import max_distance
 from ..session import materialized
 from ..sources.commits import AlreadyCommitted, commit, committed, record
-from .neighbors import _entries, _known, _met, band_plan, near_pairs
+from .neighbors import _entries, _known, _met, band_plan, blocks_are_cheaper, compared_across, near_pairs
 
 PARTS = 64
 _PLAN = "index"
@@ -26,12 +28,14 @@ def create_index(spark: SparkSession, path: str, n_bits: int, similarity: float,
     """
     k = max_distance(n_bits, similarity)
     plan = band_plan(n_bits, k, expected)
+    if blocks_are_cheaper(n_bits, plan, expected, expected):
+        plan = None
     commit(spark, path, _PLAN, {"n_bits": n_bits, "similarity": similarity, "k": k, "plan": plan, "parts": parts, "expected": expected})
 
 
 def _settings(spark: SparkSession, path: str) -> dict:
     made = record(spark, path, _PLAN)
-    return made | {"plan": [tuple(band) for band in made["plan"]]}
+    return made | {"plan": made["plan"] and [tuple(band) for band in made["plan"]]}
 
 
 def _generations(spark: SparkSession, path: str) -> list[int]:
@@ -75,6 +79,9 @@ def probe(signatures: DataFrame, path: str) -> DataFrame:
     made = _settings(spark, path)
     new = materialized(unseen(signatures, path), "new-signatures")
     among = near_pairs(new, made["n_bits"], made["similarity"])
+    if made["plan"] is None:
+        folders = _folders(spark, path, "signatures")
+        return compared_across(new, spark.read.parquet(*folders), made["n_bits"], made["k"]).unionByName(among) if folders else among
     keys = _filed(new, made, True)
     # At most as many numbers as the index has parts.
     parts = sorted(r["part"] for r in keys.select("part").distinct().collect())
@@ -98,7 +105,8 @@ def file_signatures(signatures: DataFrame, path: str) -> int:
     new = materialized(unseen(signatures, path), "new-signatures")
     folder = f"generations/{generation}-{spark._jvm.java.util.UUID.randomUUID().toString()}"
     new.write.parquet(f"{path}/{folder}/signatures")
-    _filed(new, made, False).hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/{folder}/entries")
+    if made["plan"]:
+        _filed(new, made, False).hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/{folder}/entries")
     if generation in _generations(spark, path):
         raise AlreadyCommitted(f"generation {generation} of {path} is committed already")
     commit(spark, path, f"generation={generation}", {"folder": folder})

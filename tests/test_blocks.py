@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 
 from plotwright.functions import bits
-from plotwright.operators import neighbors
+from plotwright.operators import band_index, neighbors
+from plotwright.session import work_path
 
 
 def apart(a, b):
@@ -70,3 +71,19 @@ def test_random_bits_keep_bands_and_uneven_ones_need_more(spark):
     even = neighbors._evenness(frame(spark, [f"{rnd.getrandbits(64):016x}" for _ in range(300)]), 64)
     skewed = neighbors._evenness(frame(spark, [f"{rnd.getrandbits(64) & rnd.getrandbits(64) & rnd.getrandbits(64):016x}" for _ in range(300)]), 64)
     assert even > 0.9 and skewed < 0.7
+
+
+def test_index_without_keys(spark):
+    """Where an index would file hundreds of keys a signature it holds the signatures alone."""
+    rows = uneven(3, 256, 200)
+    random.Random(1).shuffle(rows)
+    path = work_path(spark, "index")
+    band_index.create_index(spark, path, 256, 0.85, expected=100_000)
+    assert band_index._settings(spark, path)["plan"] is None
+    for start, stop in ((0, 90), (90, 150), (150, len(rows))):
+        given = frame(spark, [*rows[start:stop], *rows[max(0, start - 10) : start], rows[start], None])
+        wanted = {(min(a, b), max(a, b)) for a in rows[start:stop] for b in rows[:stop] if a != b and apart(a, b) <= 38}
+        found = [(r["left"], r["right"]) for r in band_index.probe(given, path).collect()]
+        assert Counter(found) == Counter(wanted)
+        band_index.file_signatures(given, path)
+    assert band_index.probe(frame(spark, rows), path).count() == 0
