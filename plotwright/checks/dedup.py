@@ -227,25 +227,24 @@ def hash_map(spark, sf_dir):
 
 
 _LISTING_DUPS = f"""{_pairs_sql('whash', 16, 0.85)}, c AS (SELECT DISTINCT listing, num FROM s),
-    dup AS (SELECT DISTINCT a.listing AS key, b.listing AS duplicate FROM c a JOIN c b ON a.listing <> b.listing WHERE bit_count(xor(a.num, b.num)) <= 2),
-    most AS (SELECT DISTINCT listing AS f FROM s WHERE listing % 100 = 0)"""
+    dup AS (SELECT DISTINCT a.listing AS key, b.listing AS duplicate FROM c a JOIN c b ON a.listing <> b.listing WHERE bit_count(xor(a.num, b.num)) <= 2)"""
 
 
 def _listing_duplicates(spark, sf_dir):
-    """Duplicates among all listings of those whose id is divisible by 100, however many carry their signatures."""
+    """Duplicates of every listing, however many carry its signatures or are near to them."""
     images, pairs = _images(spark, sf_dir), _pairs(spark, sf_dir, "whash", 16, 0.85)
-    wanted = images.where("internal_id % 100 = 0").select(F.col("internal_id").alias("key"))
-    return dups.duplicates_of(wanted, images, "internal_id", "signature", pairs)
+    wanted = images.select(F.col("internal_id").alias("key"))
+    return dups.duplicates_of(wanted, images, "internal_id", "signature", materialized(pairs, "near-pairs"))
 
 
-@check("duplicates_of", f"{_LISTING_DUPS} SELECT key, duplicate FROM dup WHERE key IN (SELECT f FROM most)")
+@check("duplicates_of", f"{_LISTING_DUPS} SELECT key, duplicate FROM dup")
 def duplicates_of(spark, sf_dir):
     return _listing_duplicates(spark, sf_dir)
 
 
 @check(
     "dup_report",
-    f"""{_LISTING_DUPS}, x AS (SELECT * FROM dup WHERE key IN (SELECT f FROM most)),
+    f"""{_LISTING_DUPS}, x AS (SELECT * FROM dup),
         k AS (SELECT key, count(*) AS n_duplicates FROM x GROUP BY key ORDER BY key LIMIT 10),
         h AS (SELECT page_id, url FROM pages WHERE url LIKE 'https%')
         SELECT key, duplicate, n_duplicates, a.url AS own_url, b.url AS duplicate_url, b.url IS NOT NULL AS found
