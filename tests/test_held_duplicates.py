@@ -12,7 +12,7 @@ def test_crowded_and_lone_signatures_are_expanded(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     pages = [(n, f"https://x.org/{n}") for n in (0, 7, 100, 200)] + [(8, "http://x.org/8")]
     spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
-    expected = {(a, b) for a in (0, 100) for b in ids[:60] if a != b} | {(200, 201)}
+    expected = {(a, b) for a in (0, 7, 100) for b in ids[:60] if a != b} | {(200, 201)}
 
     got = queries()["duplicates_of_held"](spark, str(tmp_path)).collect()
     assert sorted((r["key"], r["duplicate"]) for r in got) == sorted(expected)
