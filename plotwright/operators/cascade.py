@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import CAPITAL, CAPITAL_RING, CAPITAL_RING_REGION, admin_name, fold, lookup
-from ..session import materialized
+from ..session import materialized, spread
 from . import gazetteer as gaz
 from .fuzzy import fuzzy_top1, partial_top1
 from .lookup import distinct_keys, lookup_join
@@ -181,7 +181,8 @@ def _by_folded(values: DataFrame, table: DataFrame, name: str) -> DataFrame:
 def address_cities(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Distinct (district, city, city_part) with `new_city` and `city_step`; exact rungs before fuzzy ones."""
     columns = ["district", "city", "city_part"]
-    folded = addresses.withColumns({f"_{c}": fold(F.col(c)) for c in columns})
+    # A written table of few bytes is read by few tasks, and folding is the costly part.
+    folded = spread(addresses, *columns).withColumns({f"_{c}": fold(F.col(c)) for c in columns})
     names, parts = gaz.city_names(gazetteer), gaz.part_cities(gazetteer)
     city_values = folded.select(F.explode(F.array("_district", "_city")).alias("name")).where("name != ''").distinct()
     part_values = folded.select(F.col("_city_part").alias("name")).where("name != ''").distinct()
@@ -241,7 +242,7 @@ def address_streets(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """
     table = gaz.city_streets(gazetteer)
     fields = F.array(*[F.struct(F.lit(i).alias("rank"), fold(F.col(c)).alias("value")) for i, c in enumerate(STREET_FIELDS)])
-    asked = addresses.withColumn("vc", fold(F.col("norm_city"))).where("vc != ''")
+    asked = spread(addresses, *addresses.columns).withColumn("vc", fold(F.col("norm_city"))).where("vc != ''")
     asked = asked.withColumn("_f", F.explode(fields)).select(*addresses.columns, "vc", "_f.rank", "_f.value").where("value != ''")
     values = asked.select("vc", "value").distinct()
     exact = values.join(table, (values["vc"] == table["city"]) & (values["value"] == table["street"]))
