@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ BLOCK = 524_288
 PAIRS_A_ROW = 32
 # Duplicates handed on at a time; places of duplicates kept for signatures that come again.
 BATCH, KEPT = 100_000, 16_000_000
+# Bytes of entries that a report may broadcast, and what a row takes besides its values.
+BROADCAST_BYTES, ROW_BYTES = 96 * 2**20, 64
 # What a row of blocks is: a wanted listing's signature, a pair of near signatures, a carrier.
 WANTED, EDGE, CARRIER = 0, 1, 2
 
@@ -221,17 +224,26 @@ def hash_maps(images: DataFrame, key: str, page: int = PAGE) -> DataFrame:
     )
 
 
+def _fits(table: DataFrame) -> bool:
+    """Whether a broadcast may hold the table."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+    held = table.agg(F.sum(reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES)))).first()[0]
+    return (held or 0) <= BROADCAST_BYTES
+
+
 def duplicate_report(entries: DataFrame, duplicates: DataFrame, key: str, details: list[str], limit: int | None = None) -> DataFrame:
     """One row per duplicate of the entries that have any, or of the first `limit` of them, with both sides' details.
 
-    A duplicate that is no longer held stays, as `found` = false.
+    A duplicate that is no longer held stays, as `found` = false. Duplicates can be many times the entries, so
+    these are broadcast, and no duplicate passes a shuffle, as long as they fit the bound for that.
     """
     counts = duplicates.groupBy("key").agg(F.count("*").alias("n_duplicates"))
     shown = counts if limit is None else counts.orderBy("key").limit(limit)
-    rows = duplicates.join(shown, "key")
     own = entries.select(F.col(key).alias("key"), *[F.col(d).alias(f"own_{d}") for d in details])
     other = entries.select(
         F.col(key).alias("duplicate"), *[F.col(d).alias(f"duplicate_{d}") for d in details], F.lit(True).alias("_found")
     )
-    out = rows.join(own, "key").join(other, "duplicate", "left")
+    own, other = materialized(shown.join(own, "key"), "shown"), materialized(other, "entries")
+    own, other = (F.broadcast(t) if _fits(t) else t for t in (own, other))
+    out = duplicates.join(own, "key").join(other, "duplicate", "left")
     return out.withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found")
